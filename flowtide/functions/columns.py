@@ -47,8 +47,11 @@ def matching_labels(
     tests: Iterable[tuple[Column, str]], *, dedupe: bool = True
 ) -> Column:
     """Array of the labels whose test holds, in the given order."""
-    hits = F.array_compact(F.array(*[F.when(test, F.lit(label)) for test, label in tests]))
-    return F.array_distinct(hits) if dedupe else hits
+    hits = F.array(*[F.when(test, F.lit(label)) for test, label in tests])
+    if not dedupe:
+        return F.array_compact(hits)
+    # Takes out NULLs and repeats alike, and stays in generated code.
+    return F.array_except(hits, F.array(F.lit(None).cast("string")))
 
 
 def map_suffix(text: Column, labels: Mapping[str, str]) -> Column:

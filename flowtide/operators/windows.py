@@ -18,6 +18,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
+from pyspark.sql import WindowSpec
 from pyspark.sql import functions as F
 
 from flowtide.functions.columns import mean, month_index
@@ -33,12 +34,11 @@ def attach_by_keys(df: DataFrame, table: DataFrame, keys: Sequence[str], added:
     return joined.drop(*[f"_key_{k}" for k in keys])
 
 
-def month_counter(df: DataFrame, month: str, name: str = "month_counter") -> DataFrame:
-    """Add the dense rank of the month, 1 for the earliest.
+def ranked_months(df: DataFrame, month: str, name: str = "month_counter") -> DataFrame:
+    """Every distinct month with its rank, 1 for the earliest.
 
-    Only the distinct months are ranked: within each year by a window, and the
-    years among each other by their month counts. No fact row leaves its partition
-    for the ranking.
+    Months are ranked within their year by a window, and the years among each
+    other by their month counts. No fact row takes part in the ranking.
     """
     months = settle(df.select(month).distinct()).withColumn("_year", F.floor(F.col(month) / 100))
     years = months.groupBy("_year").agg(F.count(F.lit(1)).alias("_months"))
@@ -48,10 +48,14 @@ def month_counter(df: DataFrame, month: str, name: str = "month_counter") -> Dat
         F.coalesce(F.sum("_months").over(earlier), F.lit(0)).alias("_before"),
     )
     in_year = F.row_number().over(W.partitionBy("_year").orderBy(month))
-    ranks = months.join(years, F.col("_year").eqNullSafe(F.col("_of_year"))).select(
+    return months.join(years, F.col("_year").eqNullSafe(F.col("_of_year"))).select(
         month, (in_year + F.col("_before")).cast("int").alias(name)
     )
-    return attach_by_keys(df, ranks, [month], [name])
+
+
+def month_counter(df: DataFrame, month: str, name: str = "month_counter") -> DataFrame:
+    """Add the dense rank of the month, 1 for the earliest."""
+    return attach_by_keys(df, ranked_months(df, month, name), [month], [name])
 
 
 def moving_averages(
@@ -96,23 +100,47 @@ def anomaly_labels(
     )
 
 
-def _so_far(by: Sequence[str], order: Sequence[Column]) -> W:
+def _so_far(by: Sequence[str], order: Sequence[Column]) -> WindowSpec:
     return W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
 
 
-def _fill(df, by, period, cols, ties, bounded_groups, pick, over, keep_own):
-    """``over(column, order_columns)`` gives the fill value from ordered rows."""
-    if bounded_groups:
-        return df.withColumns({c: over(c, [period, *ties]) for c in cols})
-    by_period = settle(df.groupBy(*by, period).agg(*[pick(c).alias(c) for c in cols]))
-    values = by_period.select(*by, period, *[over(c, [period]).alias(f"_fill_{c}") for c in cols])
-    filled = attach_by_keys(df, values, [*by, period], [f"_fill_{c}" for c in cols])
-    own = {c: F.col(c) if keep_own else F.lit(None) for c in cols}
-    return filled.withColumns({c: F.coalesce(own[c], F.col(f"_fill_{c}")) for c in cols}).drop(
-        *[f"_fill_{c}" for c in cols]
+def _latest(by: Sequence[str], order: Sequence[str], column: str) -> Column:
+    return F.last(column, ignorenulls=True).over(_so_far(by, [F.col(o).asc() for o in order]))
+
+
+def _following(by: Sequence[str], order: Sequence[str], column: str) -> Column:
+    """The window runs backwards: its frame grows instead of being evaluated
+    again for every row."""
+    return F.last(column, ignorenulls=True).over(_so_far(by, [F.col(o).desc() for o in order]))
+
+
+def _first_so_far(by: Sequence[str], order: Sequence[str], column: str) -> Column:
+    return F.first(column, ignorenulls=True).over(_so_far(by, [F.col(o).asc() for o in order]))
+
+
+def _first_of_group(by: Sequence[str], order: Sequence[str], column: str) -> Column:
+    whole = W.partitionBy(*by).orderBy(*order)
+    return F.first(column, ignorenulls=True).over(
+        whole.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     )
 
 
+def _fill_by_period(df, by, period, cols, found, keep_own):
+    """Fill from one row per key and period; ``found(low, high)`` gives the value
+    from the columns that hold the smallest and the largest known value."""
+    bounds = [f(c).alias(f"_{n}_{c}") for c in cols for n, f in (("low", F.min), ("high", F.max))]
+    by_period = settle(df.groupBy(*by, period).agg(*bounds))
+    values = by_period.select(
+        *by, period, *[found(f"_low_{c}", f"_high_{c}").alias(f"_fill_{c}") for c in cols]
+    )
+    names = [f"_fill_{c}" for c in cols]
+    filled = attach_by_keys(df, values, [*by, period], names)
+    replaced = {
+        c: F.coalesce(F.col(c), F.col(n)) if keep_own else F.col(n) for c, n in zip(cols, names)
+    }
+    return filled.withColumns(replaced).drop(*names)
+
+
 def forward_fill(
     df: DataFrame,
     by: Sequence[str],
@@ -128,11 +156,11 @@ def forward_fill(
     among its peers before it looks at earlier periods. With bounded groups,
     ``ties`` orders the peers instead.
     """
-
-    def latest(c, order):
-        return F.last(c, ignorenulls=True).over(_so_far(by, [F.col(o).asc() for o in order]))
-
-    return _fill(df, by, period, cols, ties, bounded_groups, F.max, latest, keep_own=True)
+    if bounded_groups:
+        return df.withColumns({c: _latest(by, [period, *ties], c) for c in cols})
+    return _fill_by_period(
+        df, by, period, cols, lambda low, high: _latest(by, [period], high), keep_own=True
+    )
 
 
 def back_fill(
@@ -144,16 +172,12 @@ def back_fill(
     ties: Sequence[str] = (),
     bounded_groups: bool = False,
 ) -> DataFrame:
-    """Replace NULLs by the next value from the row's period on, the smallest among peers.
-
-    The window runs backwards, so that its frame grows instead of being
-    evaluated again for every row.
-    """
-
-    def following(c, order):
-        return F.last(c, ignorenulls=True).over(_so_far(by, [F.col(o).desc() for o in order]))
-
-    return _fill(df, by, period, cols, ties, bounded_groups, F.min, following, keep_own=True)
+    """Replace NULLs by the next value from the row's period on, the smallest among peers."""
+    if bounded_groups:
+        return df.withColumns({c: _following(by, [period, *ties], c) for c in cols})
+    return _fill_by_period(
+        df, by, period, cols, lambda low, high: _following(by, [period], low), keep_own=True
+    )
 
 
 def running_first(
@@ -165,12 +189,13 @@ def running_first(
     ties: Sequence[str] = (),
     bounded_groups: bool = False,
 ) -> DataFrame:
-    """Replace every value by the first one seen up to the row's period."""
-
-    def first_seen(c, order):
-        return F.first(c, ignorenulls=True).over(_so_far(by, [F.col(o).asc() for o in order]))
-
-    return _fill(df, by, period, cols, ties, bounded_groups, F.min, first_seen, keep_own=False)
+    """Replace every value by the first one seen up to the row's period, the
+    smallest among peers."""
+    if bounded_groups:
+        return df.withColumns({c: _first_so_far(by, [period, *ties], c) for c in cols})
+    return _fill_by_period(
+        df, by, period, cols, lambda low, high: _first_so_far(by, [period], low), keep_own=False
+    )
 
 
 def fill_gaps(
@@ -182,22 +207,19 @@ def fill_gaps(
     ties: Sequence[str] = (),
     bounded_groups: bool = False,
 ) -> DataFrame:
-    """Forward fill, then back fill what is left at the start of each group."""
-    if not bounded_groups:
-        return back_fill(forward_fill(df, by, period, cols), by, period, cols)
-    order = [F.col(period), *[F.col(t) for t in ties]]
-    so_far = _so_far(by, order)
-    whole = W.partitionBy(*by).orderBy(*order).rowsBetween(
-        W.unboundedPreceding, W.unboundedFollowing
-    )
-    # What forward filling leaves NULL lies before the group's first value.
-    return df.withColumns(
-        {
-            c: F.coalesce(
-                F.last(c, ignorenulls=True).over(so_far), F.first(c, ignorenulls=True).over(whole)
-            )
-            for c in cols
-        }
+    """Forward fill, then back fill what is left at the start of each group.
+
+    What forward filling leaves NULL lies before the group's first value, so one
+    window answers both.
+    """
+
+    def nearest(order: Sequence[str], low: str, high: str) -> Column:
+        return F.coalesce(_latest(by, order, high), _first_of_group(by, order, low))
+
+    if bounded_groups:
+        return df.withColumns({c: nearest([period, *ties], c, c) for c in cols})
+    return _fill_by_period(
+        df, by, period, cols, lambda low, high: nearest([period], low, high), keep_own=True
     )
 
 

@@ -13,7 +13,12 @@ from pyspark.sql import functions as F
 
 from flowtide.functions.fixed_values import FLOW_MEASURES
 from flowtide.operators.aggregates import flow_totals, net_flows, period_totals
-from flowtide.operators.windows import anomaly_labels, month_counter, moving_averages
+from flowtide.operators.windows import (
+    anomaly_labels,
+    month_counter,
+    moving_averages,
+    ranked_months,
+)
 from flowtide.sources.settle import settle
 
 MONTH = "month_number"
@@ -25,7 +30,7 @@ NET = "net_cash_flow"
 
 def counted_months(df: DataFrame) -> DataFrame:
     """Every month with its consecutive number."""
-    return month_counter(settle(df.select(MONTH).distinct()), MONTH).orderBy(COUNTER)
+    return ranked_months(df, MONTH, COUNTER).orderBy(COUNTER)
 
 
 def _monthly_redemptions(df: DataFrame) -> DataFrame:

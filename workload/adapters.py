@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtide.functions.fixed_values import SHARE_CLASS_SUFFIXES
+from flowtide.functions.fixed_values import FLOW_COLUMNS, SHARE_CLASS_SUFFIXES
 from flowtide.sources.settle import settle, shared_folder
 from workload.sample_values import (
     BRAND_CODES,
@@ -61,42 +61,45 @@ def _flow_amounts() -> list[Column]:
     ]
 
 
-def _share_class() -> Column:
-    return F.concat(F.lit("R-"), (1 + F.col("p_size") % 6).cast("string"))
+def funds_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fund, share class, ticker, vehicle and category of every part.
 
+    Worked out per part, ahead of the join with the far larger lineitem.
+    """
+    size = F.col("p_size")
+    suffix = one_of(list(SHARE_CLASS_SUFFIXES), size % 6)
+    return table(spark, sf_dir, "part").select(
+        "p_partkey",
+        coded("p_type", FUND_OF_TYPE).alias("fund"),
+        F.concat(F.lit("R-"), (1 + size % 6).cast("string")).alias("share_class"),
+        F.concat(coded("p_type", PREFIX_OF_TYPE), suffix).alias("ticker"),
+        (100 + size % 4).cast("bigint").alias("vehicle"),
+        coded("p_type", CATEGORY_OF_TYPE).alias("category"),
+    )
 
-def _ticker() -> Column:
-    suffix = one_of(list(SHARE_CLASS_SUFFIXES), F.col("p_size") % 6)
-    return F.concat(coded("p_type", PREFIX_OF_TYPE), suffix)
+
+def _sold_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lineitem = table(spark, sf_dir, "lineitem")
+    return lineitem.join(funds_of_parts(spark, sf_dir), F.col("l_partkey") == F.col("p_partkey"))
 
 
 def fund_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Standard-named flows at fund level; needs only lineitem and part."""
-    rows = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
-    )
-    return rows.select(
-        shifted_month("l_shipdate").alias("month_number"),
-        coded("p_type", FUND_OF_TYPE).alias("parent_fund_acronym_group"),
-        _share_class().alias("parent_share_class_name"),
-        F.col("l_linenumber").alias("line_number"),
-        *[c.alias(n) for c, n in zip(_flow_amounts(), _MEASURES)],
+    return (
+        _sold_parts(spark, sf_dir)
+        .select(
+            shifted_month("l_shipdate").alias("month_number"),
+            F.col("fund").alias("parent_fund_acronym_group"),
+            F.col("share_class").alias("parent_share_class_name"),
+            F.col("l_linenumber").alias("line_number"),
+            *_flow_amounts(),
+        )
+        .withColumnsRenamed(FLOW_COLUMNS)
     )
 
 
-_MEASURES = ["sale_amount", "redemption_amount", "exchange_in_amount", "exchange_out_amount"]
-
-
-def raw_flows(spark: SparkSession, sf_dir: str, status: str, *, pascal_case: bool = False) -> DataFrame:
-    """One raw flow source with its source-style column names."""
-    lineitem = table(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == status)
-    rows = (
-        lineitem.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    )
+def plans_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plan id and business line of every order."""
     key = F.col("o_custkey")
     plan = (
         F.when(key % 50 == 0, F.lit("#"))
@@ -104,13 +107,38 @@ def raw_flows(spark: SparkSession, sf_dir: str, status: str, *, pascal_case: boo
         .when(key % 50 == 2, F.concat(F.lit("P"), key.cast("string")))
         .otherwise(key.cast("string"))
     )
+    lines = table(spark, sf_dir, "customer").select(
+        "c_custkey", coded("c_mktsegment", LINE_OF_SEGMENT).alias("line")
+    )
+    orders = table(spark, sf_dir, "orders").join(lines, key == F.col("c_custkey"))
+    return orders.select("o_orderkey", plan.alias("plan"), "line")
+
+
+def organizations_of_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nations = table(spark, sf_dir, "nation").select(
+        "n_nationkey", one_of(ORGANIZATIONS, F.col("n_nationkey")).alias("organization")
+    )
+    suppliers = table(spark, sf_dir, "supplier")
+    return suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        "s_suppkey", "organization"
+    )
+
+
+def raw_flows(spark: SparkSession, sf_dir: str, status: str, *, pascal_case: bool = False) -> DataFrame:
+    """One raw flow source with its source-style column names."""
+    rows = (
+        _sold_parts(spark, sf_dir)
+        .where(F.col("l_linestatus") == status)
+        .join(plans_of_orders(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(organizations_of_suppliers(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
+    )
     raw = rows.select(
         shifted_month("l_shipdate").alias("monthnumber"),
-        plan.alias("retirementplanid"),
-        one_of(ORGANIZATIONS, F.col("n_nationkey")).alias("organizationname"),
-        coded("c_mktsegment", LINE_OF_SEGMENT).alias("businessline1"),
-        coded("p_type", FUND_OF_TYPE).alias("parentfundacronymgroup"),
-        _share_class().alias("parentshareclassname"),
+        F.col("plan").alias("retirementplanid"),
+        F.col("organization").alias("organizationname"),
+        F.col("line").alias("businessline1"),
+        F.col("fund").alias("parentfundacronymgroup"),
+        F.col("share_class").alias("parentshareclassname"),
         *_flow_amounts(),
     )
     return raw.toDF(*_PASCAL) if pascal_case else raw
@@ -120,35 +148,31 @@ _PASCAL = [
     "MonthNumber", "RetirementPlanId", "OrganizationName", "BusinessLine1",
     "ParentFundAcronymGroup", "ParentShareClassName",
     "SaleAmount", "RedemptionAmount", "ExchangeInAmount", "ExchangeOutAmount",
-]
+]
 
 
 def organizations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw organisation name of every supplier."""
-    rows = table(spark, sf_dir, "supplier").join(
-        table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
+    return organizations_of_suppliers(spark, sf_dir).select(
+        F.col("organization").alias("organization_name")
     )
-    return rows.select(one_of(ORGANIZATIONS, F.col("n_nationkey")).alias("organization_name"))
 
 
 def ticker_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticker listing, several rows and two vehicles per ticker."""
-    return table(spark, sf_dir, "part").select(
-        _ticker().alias("TradingSymbol"),
-        (100 + F.col("p_size") % 4).cast("bigint").alias("InvestmentVehicleId"),
+    return funds_of_parts(spark, sf_dir).select(
+        F.col("ticker").alias("TradingSymbol"), F.col("vehicle").alias("InvestmentVehicleId")
     )
 
 
 def fund_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per month and ticker; no returns for February."""
-    rows = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
-    )
     return (
-        rows.select(
+        _sold_parts(spark, sf_dir)
+        .select(
             shifted_month("l_shipdate").alias("month_number"),
-            _ticker().alias("ticker_symbol"),
-            coded("p_type", CATEGORY_OF_TYPE).alias("morningstar_category_grouped"),
+            F.col("ticker").alias("ticker_symbol"),
+            F.col("category").alias("morningstar_category_grouped"),
             F.col("l_discount").cast(MONEY).alias("discount"),
         )
         .where(F.col("month_number") % 100 != 2)

@@ -12,7 +12,7 @@ from flowtide.functions import fixed_values as V
 from flowtide.operators import aggregates, combine, lookups, pivots, windows
 from flowtide.plans import advisor, analysis, base, flows, macro
 from flowtide.sources import readers, tables
-from flowtide.sources.settle import shared_folder
+from flowtide.sources.settle import settle, shared_folder
 from workload import adapters as A
 
 MONTH, FUND = analysis.MONTH, analysis.FUND
@@ -81,23 +81,32 @@ def fund_lookup(spark, sf):
     return lookups.fund_lookup(listing)
 
 
+def _source_a(spark, sf, funds):
+    return flows.flows_source_a(A.raw_flows(spark, sf, "F"), funds)
+
+
+def _source_b(spark, sf, funds):
+    return flows.flows_source_b(A.raw_flows(spark, sf, "O", pascal_case=True), funds)
+
+
 def flows_source_a(spark, sf):
-    return flows.flows_source_a(A.raw_flows(spark, sf, "F"), fund_lookup(spark, sf))
+    return _source_a(spark, sf, settle(fund_lookup(spark, sf)))
 
 
 def flows_source_b(spark, sf):
-    raw = A.raw_flows(spark, sf, "O", pascal_case=True)
-    return flows.flows_source_b(raw, fund_lookup(spark, sf))
+    return _source_b(spark, sf, settle(fund_lookup(spark, sf)))
 
 
 def flows_all(spark, sf):
-    return flows.combined_flows(flows_source_a(spark, sf), flows_source_b(spark, sf))
+    funds = settle(fund_lookup(spark, sf))
+    return flows.combined_flows(_source_a(spark, sf, funds), _source_b(spark, sf, funds))
 
 
 def flows_by_firm_table(spark, sf):
     """Source A with the firms given as a lookup table, duplicates kept."""
-    firms = lookups.firm_lookup(A.organizations(spark, sf), dedupe=False)
-    return flows.flows_source_a(A.raw_flows(spark, sf, "F"), fund_lookup(spark, sf), firms)
+    firms = settle(lookups.firm_lookup(A.organizations(spark, sf), dedupe=False))
+    funds = settle(fund_lookup(spark, sf))
+    return flows.flows_source_a(A.raw_flows(spark, sf, "F"), funds, firms)
 
 
 def union_of_sources(spark, sf):
@@ -158,9 +167,10 @@ def month_dates(spark, sf):
 
 
 def base_table(spark, sf):
-    return base.base_table(
-        flows_all(spark, sf), macro_last_of_month(spark, sf), A.fund_returns(spark, sf)
-    )
+    """Indicators and returns are settled, as a user would save them as tables."""
+    indicators = settle(macro_last_of_month(spark, sf))
+    returns = settle(A.fund_returns(spark, sf))
+    return base.base_table(flows_all(spark, sf), indicators, returns)
 
 
 def base_filled(spark, sf):
