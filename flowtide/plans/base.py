@@ -13,10 +13,11 @@ from flowtide.functions.fixed_values import (
     WINDOW_SIZES,
 )
 from flowtide.operators.lookups import lookup_join
-from flowtide.operators.windows import fill_gaps, trailing_avg
+from flowtide.operators.windows import fill_gaps, running_first, trailing_avg
 
 MONTH = "month_number"
 TICKER = "ticker_symbol"
+FILLS = {"nearest": fill_gaps, "first_seen": running_first}
 
 
 def base_table(
@@ -27,27 +28,34 @@ def base_table(
     return lookup_join(with_macro, returns, [MONTH, TICKER]).drop(*dropped)
 
 
-def filled_base(base: DataFrame) -> DataFrame:
-    """Fill gaps in every column but the keys and the month.
+def filled_base(base: DataFrame, fill: str = "nearest") -> DataFrame:
+    """Fill gaps in every column but the keys, the month and the ticker.
+
+    ``fill="nearest"`` fills forward, then backward; ``fill="first_seen"`` replaces every
+    value by the first one of its group so far.
 
     The base table is aggregated: a group is one plan's history in one vehicle,
     a few rows per month at most, so a single window is enough. The rows are
     partitioned by the keys of the trailing means, a subset of the fill keys, and
     both steps use that one shuffle.
     """
+    operator = FILLS[fill]
     fixed = {*FILL_KEYS, MONTH, TICKER}
     cols = [c for c in base.columns if c not in fixed]
-    return fill_gaps(
-        base.repartition(*TRAILING_KEYS), FILL_KEYS, MONTH, cols, ties=[TICKER], bounded_groups=True
-    )
+    rows = base.repartition(*TRAILING_KEYS)
+    return operator(rows, FILL_KEYS, MONTH, cols, ties=[TICKER], bounded_groups=True)
 
 
 def base_features(
-    base: DataFrame, periods: Sequence[int] = WINDOW_SIZES, mode: str = "month_index"
+    base: DataFrame,
+    periods: Sequence[int] = WINDOW_SIZES,
+    *,
+    fill: str = "nearest",
+    mode: str = "month_index",
 ) -> DataFrame:
     """Filled base table with trailing means of the redemptions."""
     return trailing_avg(
-        filled_base(base),
+        filled_base(base, fill),
         "redemption_amount",
         TRAILING_KEYS,
         MONTH,

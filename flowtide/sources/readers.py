@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 def series_name(path: str) -> str:
     """Name of a series from its file name: ``House Pricing-Index.csv`` gives
     ``house_pricing_index``."""
-    name = unquote(path.rstrip("/").rsplit("/", 1)[-1]).removesuffix(".csv")
+    name = path.rstrip("/").rsplit("/", 1)[-1].removesuffix(".csv")
     return re.sub("[ -]", "_", name).lower()
 
 
@@ -37,9 +37,9 @@ def read_series_dir(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     )
     root = f"/{folder.rstrip('/').rsplit('/', 1)[-1]}/"
     entries: dict[str, str] = {}
-    for file in listing.inputFiles():
+    for file in map(unquote, listing.inputFiles()):
         head, _, tail = file.rpartition(root)
-        entry = unquote(f"{head}{root}{tail.split('/', 1)[0]}")
+        entry = f"{head}{root}{tail.split('/', 1)[0]}"
         entries[series_name(entry)] = entry
     return {name: read_series(spark, path) for name, path in sorted(entries.items())}
 

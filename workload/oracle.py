@@ -214,6 +214,14 @@ filled AS (
   WINDOW ahead AS (PARTITION BY {', '.join(V.FILL_KEYS)} ORDER BY month_number, ticker_symbol
                    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))"""
 
+FIRST_SEEN = f"""
+filled AS (
+  SELECT * EXCLUDE ({', '.join(BASE_VALUES)}),
+         {', '.join(f'first_value({c} IGNORE NULLS) OVER past AS {c}' for c in BASE_VALUES)}
+  FROM base
+  WINDOW past AS (PARTITION BY {', '.join(V.FILL_KEYS)} ORDER BY month_number, ticker_symbol
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
 
 def doubles(columns) -> str:
     return ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in columns)
@@ -497,6 +505,10 @@ ORACLE = {
     "base_features": with_(
         [*BASE_CTES, FILLED], trailing(INDEX, 0, ", ".join(V.TRAILING_KEYS), "filled", V.FLOW_MEASURES)
     ),
+    "base_features_literal": with_(
+        [*BASE_CTES, FIRST_SEEN],
+        trailing("month_number", 1, ", ".join(V.TRAILING_KEYS), "filled", V.FLOW_MEASURES),
+    ),
     "forward_fill": with_([FLOWS, GAPS, LATEST, f"forward AS ({FORWARD})"], as_doubles("forward")),
     "back_fill": with_(
         [FLOWS, GAPS, NEXT, f"back AS ({replaced('gaps', 'following', 'coalesce(sale_amount, found)')})"],

@@ -181,6 +181,11 @@ def base_features(spark, sf):
     return base.base_features(base_table(spark, sf))
 
 
+def base_features_literal(spark, sf):
+    """First value so far in every column, trailing means on the month number itself."""
+    return base.base_features(base_table(spark, sf), fill="first_seen", mode="literal")
+
+
 # Gap filling and trailing means on rows that share keys without bound
 
 
@@ -317,7 +322,7 @@ REGISTERED = [
     firm_lookup, firm_lookup_raw, fund_lookup, flows_source_a, flows_source_b, flows_all,
     flows_by_firm_table, union_of_sources, valid_plans, share_classes,
     macro_monthly, macro_last_of_month, macro_from_files, month_dates,
-    base_table, base_filled, base_features,
+    base_table, base_filled, base_features, base_features_literal,
     forward_fill, back_fill, running_first, fill_gaps, trailing_avg, trailing_avg_literal,
     advisor_assets, advisor_sales, line_sums, fund_line_pivot, advisor_dimensions,
     snapshot_fund_lookup, view_redemptions,
