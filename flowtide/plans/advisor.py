@@ -22,7 +22,7 @@ from flowtide.functions.fixed_values import (
 from flowtide.operators.lookups import lookup_join
 from flowtide.operators.pivots import label_pivot
 
-BY = ["MonthDate", "FinancialIntermediaryPersonID"]
+BY = ["MO_NUM", "FINCL_ITRMY_PRSON_ID"]
 LINES = ["IR", "DCIO", "DCProp", "DCSmallRPSolution", "OtherIR"]
 FUND_LINES = ["DCIO", "SmallRP"]
 
@@ -37,9 +37,11 @@ def advisor_rows(
     """Facts of single advisors with a non-zero total, and their two dimensions.
 
     The history filter is on the stored month, so the scan can skip files by it.
+    A key that is no month (13, say) has no date and is left out.
     """
     kept = facts.where(
         (F.col("MO_NUM") >= month_start)
+        & (F.col("MO_NUM") % 100).between(1, 12)
         & (F.col("TEAM_IND") == "N")
         & (F.col("FINCL_ITRMY_PRSON_ID") != 0)
         & (total != 0)
@@ -88,12 +90,12 @@ def advisor_pivot(
         F.when(line.isin(FUND_LINES), F.concat(F.col("_bucket"), F.lit("_"), line)),
     ]
     values = [*LINES, *[f"{b}_{n}" for n in FUND_LINES for b in buckets]]
-    keyed = rows.withColumns(
-        {BY[0]: month_date(F.col("MO_NUM")), BY[1]: F.col("FINCL_ITRMY_PRSON_ID")}
-    )
-    wide = label_pivot(keyed, BY, traits, labels, values, measures, absolute=absolute)
-    return wide.withColumnsRenamed(
-        {f"{m}_{v}": f"Fund{m}{v}" for m in measures for v in values if v not in LINES}
+    wide = label_pivot(rows, BY, traits, labels, values, measures, absolute=absolute)
+    lines = {f"{m}_{v}": f"{m}_{v}" if v in LINES else f"Fund{m}{v}" for m in measures for v in values}
+    return wide.select(
+        month_date(F.col("MO_NUM")).alias("MonthDate"),
+        F.col("FINCL_ITRMY_PRSON_ID").alias("FinancialIntermediaryPersonID"),
+        *[F.col(name).alias(shown) for name, shown in lines.items()],
     )
 
 

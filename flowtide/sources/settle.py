@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
 # A lookup above this measured size is joined by shuffle instead of broadcast.
-MAX_BROADCAST_BYTES = 32 * 1024 * 1024
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 FIXED_COLUMN_BYTES = 16
 
 

@@ -112,6 +112,7 @@ def test_advisor_assets(spark):
         (201612, 9, 4, "N", 80, 0),  # in neither dimension
         (201612, 9, 1, "Y", 1000, 0), (201612, 0, 1, "N", 1000, 0), (201611, 9, 1, "N", 1000, 0),
         (201612, 9, 1, "N", 5, -5), (201612, 9, 1, "N", 5, None), (201612, None, 1, "N", 5, 0),
+        (201713, 9, 1, "N", 1000, 0), (201700, 9, 1, "N", 1000, 0),  # no months
         (201701, 9, 4, "N", 1, 1),  # no line at all
     ]
     assets = facts(spark, data, "ASSET_VAL_AMT", "TEAM_ALLOC_ASSET_VAL_AMT")

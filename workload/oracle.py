@@ -160,14 +160,14 @@ daily AS (
          sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS urgent
   FROM orders GROUP BY ALL),
 s1 AS (SELECT AsOfDate, month_number, d, CAST(total AS VARCHAR) AS "Sentiment" FROM daily),
-s2 AS (SELECT AsOfDate, CAST(n AS VARCHAR) AS "GDP" FROM daily WHERE m % 3 = 0 AND d <= 10),
+s2 AS (SELECT AsOfDate, CAST(n AS VARCHAR) AS "GDP" FROM daily WHERE m IN (3, 6, 9, 12) AND d <= 10),
 s3 AS (SELECT AsOfDate, CASE WHEN d % 7 = 0 THEN '.' ELSE CAST(high AS VARCHAR) END AS "GoldPrice" FROM daily),
 s4 AS (SELECT AsOfDate, CAST(low AS VARCHAR) AS "House_Price_Index" FROM daily WHERE d <= 15),
 s5 AS (SELECT AsOfDate, CAST(low AS VARCHAR) AS "VIX_Open", CAST(high AS VARCHAR) AS "VIX_High",
               CAST(low AS VARCHAR) AS "VIX_Low", CAST(n AS VARCHAR) AS "VIX_Close" FROM daily),
 s6 AS (SELECT AsOfDate, CAST(urgent AS VARCHAR) AS "Oil_Price" FROM daily WHERE urgent > 0),
-s7 AS (SELECT AsOfDate, CAST(n AS VARCHAR) AS "TDSP", CAST(total AS VARCHAR) AS "FODSP" FROM daily WHERE d % 2 = 0),
-s8 AS (SELECT AsOfDate, CAST(high AS VARCHAR) AS "TED_Spread" FROM daily WHERE m % 2 = 1),
+s7 AS (SELECT AsOfDate, CAST(n AS VARCHAR) AS "TDSP", CAST(total AS VARCHAR) AS "FODSP" FROM daily WHERE d <= 20),
+s8 AS (SELECT AsOfDate, CAST(high AS VARCHAR) AS "TED_Spread" FROM daily WHERE m <= 6),
 s9 AS (SELECT AsOfDate, CASE WHEN d % 7 = 0 THEN '.' ELSE CAST(n AS VARCHAR) END AS "Treasury_Yield" FROM daily),
 series AS (
   SELECT * FROM s1 LEFT JOIN s2 USING (AsOfDate) LEFT JOIN s3 USING (AsOfDate)
@@ -307,7 +307,7 @@ def flow_series(names: dict[str, str]) -> str:
 PEERS = "parent_fund_acronym_group, parent_share_class_name"
 GAPS = f"""
 gaps AS (
-  SELECT * REPLACE (CASE WHEN month_number % 4 = 1 AND line_number = 1 THEN sale_amount END AS sale_amount)
+  SELECT * REPLACE (CASE WHEN month_number % 100 <= 4 AND line_number = 1 THEN sale_amount END AS sale_amount)
   FROM flows),
 peers AS (
   SELECT {PEERS}, month_number, max(sale_amount) AS top, min(sale_amount) AS low
@@ -371,7 +371,7 @@ facts AS (
 vehicles AS (
   SELECT p_partkey AS INV_VEH_ID,
          ({sql_list(BRAND_CODES)})[CAST(split_part(p_brand, '#', 2) AS INTEGER)] AS code
-  FROM part WHERE p_partkey % 17 <> 0),
+  FROM part WHERE p_brand <> 'Brand#25'),
 lines AS (
   SELECT p_partkey AS INV_VEH_ID, RK_SOLTN_CD, FUND_SHARE_CLASS_ID, INVSR_ACCT_TYP_CD,
          CASE WHEN p_size % 3 = 0 THEN 'PC' ELSE 'IR' END AS line_1,
@@ -379,7 +379,7 @@ lines AS (
          ({sql_list(LINE_3_CYCLE)})[(p_size + FUND_SHARE_CLASS_ID) % {len(LINE_3_CYCLE)} + 1] AS line_3
   FROM part, (VALUES ('A'), ('N'), ('R')) r(RK_SOLTN_CD), (VALUES (0), (1), (2)) c(FUND_SHARE_CLASS_ID),
        (VALUES ('F'), ('O')) t(INVSR_ACCT_TYP_CD)
-  WHERE p_partkey % 13 <> 0),
+  WHERE p_type <> 'SMALL'),
 joined AS (
   SELECT facts.*, code, line_1, line_2, line_3,
          asset_value + team_value AS assets,
