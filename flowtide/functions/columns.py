@@ -93,5 +93,11 @@ def cast_all(df: DataFrame, dtype: str | DataType, except_: Iterable[str] = ())
 
 def decimals_as_double(df: DataFrame) -> DataFrame:
     """Show exact decimal results as doubles."""
-    wide = [f.name for f in df.schema.fields if isinstance(f.dataType, DecimalType)]
-    return df.withColumns({c: F.col(c).cast("double") for c in wide})
+    return df.selectExpr(
+        *[
+            f"CAST(`{f.name}` AS DOUBLE) AS `{f.name}`"
+            if isinstance(f.dataType, DecimalType)
+            else f"`{f.name}`"
+            for f in df.schema.fields
+        ]
+    )

@@ -37,20 +37,12 @@ def attach_by_keys(df: DataFrame, table: DataFrame, keys: Sequence[str], added:
 def ranked_months(df: DataFrame, month: str, name: str = "month_counter") -> DataFrame:
     """Every distinct month with its rank, 1 for the earliest.
 
-    Months are ranked within their year by a window, and the years among each
-    other by their month counts. No fact row takes part in the ranking.
+    The rows are reduced to their distinct months where they are. Only those are
+    ordered in one task: a calendar has twelve a year, however many rows there are.
     """
-    months = settle(df.select(month).distinct()).withColumn("_year", F.floor(F.col(month) / 100))
-    years = months.groupBy("_year").agg(F.count(F.lit(1)).alias("_months"))
-    earlier = W.orderBy("_year").rowsBetween(W.unboundedPreceding, -1)
-    years = years.select(
-        F.col("_year").alias("_of_year"),
-        F.coalesce(F.sum("_months").over(earlier), F.lit(0)).alias("_before"),
-    )
-    in_year = F.row_number().over(W.partitionBy("_year").orderBy(month))
-    return months.join(years, F.col("_year").eqNullSafe(F.col("_of_year"))).select(
-        month, (in_year + F.col("_before")).cast("int").alias(name)
-    )
+    months = df.select(month).distinct()
+    rank = F.row_number().over(W.orderBy(month))
+    return settle(months.withColumn(name, rank))
 
 
 def month_counter(df: DataFrame, month: str, name: str = "month_counter") -> DataFrame:

@@ -91,12 +91,9 @@ def advisor_pivot(
     ]
     values = [*LINES, *[f"{b}_{n}" for n in FUND_LINES for b in buckets]]
     wide = label_pivot(rows, BY, traits, labels, values, measures, absolute=absolute)
-    lines = {f"{m}_{v}": f"{m}_{v}" if v in LINES else f"Fund{m}{v}" for m in measures for v in values}
-    return wide.select(
-        month_date(F.col("MO_NUM")).alias("MonthDate"),
-        F.col("FINCL_ITRMY_PRSON_ID").alias("FinancialIntermediaryPersonID"),
-        *[F.col(name).alias(shown) for name, shown in lines.items()],
-    )
+    names = [f"{m}_{v}" if v in LINES else f"Fund{m}{v}" for m in measures for v in values]
+    dated = wide.withColumn("MO_NUM", month_date(F.col("MO_NUM")))
+    return dated.toDF("MonthDate", "FinancialIntermediaryPersonID", *names)
 
 
 def advisor_assets(assets: DataFrame, vehicles: DataFrame, business_lines: DataFrame) -> DataFrame:
