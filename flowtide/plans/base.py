@@ -28,7 +28,9 @@ def base_table(
     return lookup_join(with_macro, returns, [MONTH, TICKER]).drop(*dropped)
 
 
-def filled_base(base: DataFrame, fill: str = "nearest") -> DataFrame:
+def filled_base(
+    base: DataFrame, fill: str = "nearest", *, bounded_groups: bool = True
+) -> DataFrame:
     """Fill gaps in every column but the keys, the month and the ticker.
 
     ``fill="nearest"`` fills forward, then backward; ``fill="first_seen"`` replaces every
@@ -37,11 +39,14 @@ def filled_base(base: DataFrame, fill: str = "nearest") -> DataFrame:
     The base table is aggregated: a group is one plan's history in one vehicle,
     a few rows per month at most, so a single window is enough. The rows are
     partitioned by the keys of the trailing means, a subset of the fill keys, and
-    both steps use that one shuffle.
+    both steps use that one shuffle. For rows that are not aggregated, or funds with
+    vehicles without number, ``bounded_groups=False`` takes the other plan.
     """
     operator = FILLS[fill]
     fixed = {*FILL_KEYS, MONTH, TICKER}
     cols = [c for c in base.columns if c not in fixed]
+    if not bounded_groups:
+        return operator(base, FILL_KEYS, MONTH, cols)
     rows = base.repartition(*TRAILING_KEYS)
     return operator(rows, FILL_KEYS, MONTH, cols, ties=[TICKER], bounded_groups=True)
 
@@ -52,14 +57,15 @@ def base_features(
     *,
     fill: str = "nearest",
     mode: str = "month_index",
+    bounded_groups: bool = True,
 ) -> DataFrame:
     """Filled base table with trailing means of the redemptions."""
     return trailing_avg(
-        filled_base(base, fill),
+        filled_base(base, fill, bounded_groups=bounded_groups),
         "redemption_amount",
         TRAILING_KEYS,
         MONTH,
         periods,
         mode=mode,
-        bounded_groups=True,
+        bounded_groups=bounded_groups,
     )

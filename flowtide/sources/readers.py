@@ -69,6 +69,23 @@ def jdbc_arguments(
     return arguments
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, **options) -> DataFrame:
+def read_jdbc(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    *,
+    column: str | None = None,
+    bounds: tuple[int, int] | None = None,
+    num_partitions: int | None = None,
+    properties: Mapping[str, str] | None = None,
+) -> DataFrame:
     """A database table, read over ``num_partitions`` connections split by ``column``."""
-    return spark.read.jdbc(**jdbc_arguments(url, table, **options))
+    arguments = jdbc_arguments(
+        url,
+        table,
+        column=column,
+        bounds=bounds,
+        num_partitions=num_partitions,
+        properties=properties,
+    )
+    return spark.read.jdbc(**arguments)

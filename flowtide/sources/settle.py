@@ -46,8 +46,16 @@ def measured_bytes(df: DataFrame) -> int:
     return df.select(F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
+def has_more_rows(df: DataFrame, count: int) -> bool:
+    """Whether ``df`` has more than ``count`` rows; reads only as many partitions as that takes."""
+    return bool(df.select(F.lit(1)).offset(count).take(1))
+
+
 def fits_broadcast(df: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> bool:
-    return measured_bytes(df) <= limit
+    """Whether ``df`` stays within ``limit`` bytes. A table with too many rows to fit
+    is recognised without a pass over it; any other is measured in full."""
+    smallest_row = FIXED_COLUMN_BYTES * max(len(df.columns), 1)
+    return not has_more_rows(df, limit // smallest_row) and measured_bytes(df) <= limit
 
 
 def hint_small(df: DataFrame, small: bool) -> DataFrame:

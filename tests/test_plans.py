@@ -2,13 +2,14 @@
 
 from decimal import Decimal
 
+import pytest
 from flowtide.functions import fixed_values as V
-from flowtide.operators import windows
+from flowtide.operators import lookups, windows
 from flowtide.plans import advisor, base, flows
 from flowtide.sources import settle
 from pyspark.sql import functions as F
 
-from tests.helpers import ancestors, exchanges, plan
+from tests.helpers import ancestors, exchanges, plan, rows
 from tests.test_pivots import dimensions, facts
 from workload import queries as Q
 
@@ -30,10 +31,6 @@ def advisor_files(spark, tmp_path):
     )
 
 
-def verbose(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 def test_advisor_filters_reach_the_scan(spark, tmp_path):
     wide = advisor.advisor_assets(advisor_files(spark, tmp_path), *dimensions(spark))
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
@@ -76,19 +73,19 @@ def test_dimensions_beyond_the_limit_are_shuffled(spark, tmp_path, monkeypatch):
 
 
 def test_counter_leaves_facts_in_place(spark, tmp_path):
-    rows = spark.range(1000).select((F.col("id") % 30 + 201701).cast("int").alias("m"), "id")
-    counted = windows.month_counter(saved(rows, tmp_path / "facts"), "m")
+    ids = spark.range(1000).select((F.col("id") % 30 + 201701).cast("int").alias("m"), "id")
+    counted = windows.month_counter(saved(ids, tmp_path / "facts"), "m")
     counted.collect()
     assert exchanges(plan(counted), "FileScan parquet") == [[]]
 
 
 def test_fill_and_trailing_of_unbounded_groups_leave_facts_in_place(spark, tmp_path):
-    rows = spark.range(1000).select(
+    hot = spark.range(1000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
         (F.col("id") % 30 + 201701).cast("int").alias("m"),
         F.when(F.col("id") % 5 == 0, F.col("id")).alias("v"),
     )
-    df = saved(rows, tmp_path / "facts")
+    df = saved(hot, tmp_path / "facts")
     for result in (
         windows.fill_gaps(df, ["k"], "m", ["v"]),
         windows.trailing_avg(df, "v", ["k"], "m"),
@@ -99,20 +96,65 @@ def test_fill_and_trailing_of_unbounded_groups_leave_facts_in_place(spark, tmp_p
         assert not any("Window" in n for n in ancestors(plan(result), "FileScan parquet")[0])
 
 
-def test_bounded_base_features_use_one_shuffle(spark, tmp_path):
-    keys = [*V.FILL_KEYS, "ticker_symbol"]
-    rows = spark.range(200).select(
-        *[F.lit("x").alias(k) for k in keys],
-        (F.col("id") % 24 + 201701).cast("int").alias("month_number"),
-        F.col("id").cast("decimal(18,2)").alias("redemption_amount"),
-        F.lit(None).cast("double").alias("gdp"),
+def base_rows(spark):
+    """One row per month and vehicle, with gaps; one plan has most of the rows."""
+    fixed = [k for k in V.FILL_KEYS if k not in ("retirement_plan_id", "investment_vehicle_id")]
+    n = F.col("id")
+    return spark.range(240).select(
+        *[F.lit("x").alias(k) for k in fixed],
+        F.when(n < 192, "hot").otherwise("cold").alias("retirement_plan_id"),
+        F.floor(n / 24).alias("investment_vehicle_id"),
+        F.lit("T").alias("ticker_symbol"),
+        (F.floor(n % 24 / 12) * 100 + n % 12 + 201701).cast("int").alias("month_number"),
+        F.when(n % 5 > 1, n).cast("decimal(18,2)").alias("redemption_amount"),
+        F.when(n % 7 == 3, n.cast("double")).alias("gdp"),
     )
-    features = base.base_features(saved(rows, tmp_path / "base"))
+
+
+def test_bounded_base_features_use_one_shuffle(spark, tmp_path):
+    features = base.base_features(saved(base_rows(spark), tmp_path / "base"))
     features.collect()
     ((shuffle,),) = exchanges(plan(features), "FileScan parquet")
     assert "REPARTITION_BY_COL" in shuffle
 
 
+@pytest.mark.parametrize("fill", ["nearest", "first_seen"])
+def test_both_base_plans_agree(spark, fill):
+    one = base.base_features(base_rows(spark), fill=fill)
+    other = base.base_features(base_rows(spark), fill=fill, bounded_groups=False)
+    assert one.columns == other.columns
+    assert rows(one) == rows(other)
+
+
+def test_hot_keys_of_large_lookups_are_split(spark, tmp_path, monkeypatch):
+    """Beyond the broadcast limit a key with a third of the rows is spread over tasks."""
+    keys = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000)
+    facts_ = saved(
+        spark.range(200_000).select(keys.alias("k"), "id", F.uuid().alias("text")).repartition(16),
+        tmp_path / "facts",
+    )
+    lookup = saved(spark.range(5000).select(F.col("id").alias("k"), "id"), tmp_path / "lookup")
+    lookup = lookup.withColumnRenamed("id", "code")
+    expected = lookups.lookup_join(facts_, lookup, "k").agg(F.sum("code"), F.count("*")).first()
+    monkeypatch.setattr(settle.checked_broadcast, "__defaults__", (1,))
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        joined = lookups.lookup_join(facts_, lookup, "k")
+        joined.collect()
+        assert "SortMergeJoin(skew=true)" in plan(joined)
+        assert joined.agg(F.sum("code"), F.count("*")).first() == expected
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
+
+
 def test_flows_are_summed_before_vehicles_are_joined(spark, tmp_path):
     raw = spark.range(300).select(
         F.lit(201702).alias("monthnumber"),

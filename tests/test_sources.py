@@ -133,3 +133,45 @@ def test_settled_rows_come_from_the_named_folder(spark):
     assert folder in spark.sparkContext.getCheckpointDir()
     assert "Scan ExistingRDD" in df._jdf.queryExecution().toString()
     assert rows(df) == [(i,) for i in range(5)]
+
+
+def test_row_check_stops_early(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("row-check", "row check")
+    try:
+        assert settle.has_more_rows(spark.range(0, 10**9, numPartitions=400), 1000)
+        jobs = tracker.getJobIdsForGroup("row-check")
+        stages = [tracker.getStageInfo(s) for j in jobs for s in tracker.getJobInfo(j).stageIds]
+        assert sum(stage.numTasks for stage in stages) < 400
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not settle.has_more_rows(spark.range(1000), 1000)
+    assert settle.has_more_rows(spark.range(1001), 1000)
+
+
+def test_large_lookup_is_refused_without_measuring(spark, monkeypatch):
+    def measured(df):
+        raise AssertionError("measured a table whose row count already rules it out")
+
+    monkeypatch.setattr(settle, "measured_bytes", measured)
+    assert not settle.fits_broadcast(spark.range(1000), 999 * settle.FIXED_COLUMN_BYTES)
+
+
+class FakeReader:
+    def __init__(self):
+        self.given = None
+
+    def jdbc(self, **arguments):
+        self.given = arguments
+        return "rows"
+
+
+def test_read_jdbc_passes_the_split_on():
+    class Session:
+        read = FakeReader()
+
+    rows_of = readers.read_jdbc(
+        Session, "jdbc:x", "t", column="id", bounds=(1, 9), num_partitions=4
+    )
+    assert rows_of == "rows"
+    assert Session.read.given["numPartitions"] == 4 and Session.read.given["column"] == "id"

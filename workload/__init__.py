@@ -1 +1 @@
-"""Registered queries over the sample tables and their reference SQL."""
+"""Registered queries over the sample tables and the SQL they are compared with."""

@@ -294,9 +294,9 @@ def advisor_dimensions(spark, sf):
 
 def snapshot_fund_lookup(spark, sf):
     """Fund lookup saved as a table and read back, first built, then reused."""
-    token = uuid.uuid4().hex
     tables.ensure_database(spark, "default")
-    name, path = f"default.fund_lookup_{token}", f"{shared_folder(spark)}/fund_lookup_{token}"
+    name = "default.sample_fund_lookup"
+    path = f"{shared_folder(spark)}/fund-lookup-{uuid.uuid4().hex}"
     tables.snapshot(spark, name, lambda: fund_lookup(spark, sf), refresh=True, path=path)
     return tables.snapshot(spark, name, lambda: fund_lookup(spark, sf), refresh=False)
 
