@@ -13,7 +13,7 @@ from pyspark.sql.types import DataType, DecimalType
 
 def parse_date(text: Column, pattern: str) -> Column:
     """Text as a date; text that does not match the pattern becomes NULL."""
-    return F.try_to_timestamp(text, F.lit(pattern)).cast("date")
+    return F.try_to_date(text, pattern)
 
 
 def month_number(date: Column) -> Column:
@@ -43,15 +43,17 @@ def name_contains(name: Column, fragment: str) -> Column:
     return F.lower(name).contains(F.lower(F.lit(fragment)))
 
 
+def known_values(texts: Iterable[Column]) -> Column:
+    """Array of the distinct texts that are not NULL; stays in generated code."""
+    return F.array_except(F.array(*texts), F.array(F.lit(None).cast("string")))
+
+
 def matching_labels(
     tests: Iterable[tuple[Column, str]], *, dedupe: bool = True
 ) -> Column:
     """Array of the labels whose test holds, in the given order."""
-    hits = F.array(*[F.when(test, F.lit(label)) for test, label in tests])
-    if not dedupe:
-        return F.array_compact(hits)
-    # Takes out NULLs and repeats alike, and stays in generated code.
-    return F.array_except(hits, F.array(F.lit(None).cast("string")))
+    hits = [F.when(test, F.lit(label)) for test, label in tests]
+    return known_values(hits) if dedupe else F.array_compact(F.array(*hits))
 
 
 def map_suffix(text: Column, labels: Mapping[str, str]) -> Column:

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowtide.functions.columns import known_values
+
 
 def label_pivot(
     df: DataFrame,
@@ -20,7 +22,7 @@ def label_pivot(
 ) -> DataFrame:
     """One column per label value and measure, named ``<measure>_<value>``.
 
-    A row belongs to every label that is not NULL; ``labels`` are written in
+    A row belongs once to every label that is not NULL; ``labels`` are written in
     terms of the ``traits``. Groups without any listed label stay, as zeros.
 
     Rows are summed by key and traits first, which shrinks a hot key to its few
@@ -34,7 +36,7 @@ def label_pivot(
     )
     spread = narrow.repartition(*by).select(
         *by,
-        F.explode_outer(F.array_compact(F.array(*labels))).alias("_label"),
+        F.explode_outer(known_values(labels)).alias("_label"),
         *measures,
     )
     wide = (
