@@ -1,61 +1,112 @@
-"""Checkpoints and size checks for small intermediate tables."""
+"""Intermediate tables in the shared folder, and size checks for small ones."""
 
 from __future__ import annotations
 
-import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import (
+    ArrayType,
+    AtomicType,
+    BinaryType,
+    MapType,
+    StringType,
+    StructType,
+)
 
 # A lookup above this measured size is joined by shuffle instead of broadcast.
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 FIXED_COLUMN_BYTES = 16
 
+_settled: list[str] = []
+_measured: WeakKeyDictionary[DataFrame, float] = WeakKeyDictionary()
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder the cluster names; a private one in local runs without it."""
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    """The folder that ``spark.checkpoint.dir`` names, which all executors reach."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="flowtide-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return folder
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+    return folder.rstrip("/")
+
+
+def new_folder(spark: SparkSession, kind: str) -> str:
+    """A path in the shared folder that nothing else uses; ``release_settled`` removes it."""
+    path = f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+    _settled.append(path)
+    return path
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and keep it in the shared folder.
+    """Compute ``df`` once and read it back from the shared folder.
+
+    Meant for tables that are read more than once: what lies behind them is then
+    evaluated a single time, losing an executor costs only a re-read, and later
+    steps read no more columns than they use.
+    """
+    spark, path = df.sparkSession, new_folder(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release_settled(spark: SparkSession, since: int = 0) -> None:
+    """Remove the settled folders of this process, from the given one on.
 
-    Meant for aggregates that are read more than once: the facts behind them
-    are then scanned a single time, and losing an executor costs only a re-read.
+    DataFrames built on them can't be evaluated afterwards.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    while len(_settled) > since:
+        remove_folder(spark, _settled.pop())
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of ``df`` in bytes, from a distributed count over its text lengths."""
+@contextmanager
+def settled_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove on leaving whatever was settled inside."""
+    since = len(_settled)
+    try:
+        yield
+    finally:
+        release_settled(spark, since)
+
+
+def measured_bytes(df: DataFrame) -> float:
+    """Size of ``df`` in bytes, from one distributed aggregate.
+
+    Nested values count by their JSON text; a type that has none makes the size
+    infinite. A DataFrame is measured once.
+    """
+    if df not in _measured:
+        _measured[df] = _measure(df)
+    return _measured[df]
+
+
+def _measure(df: DataFrame) -> float:
     size = F.lit(0)
     for field in df.schema.fields:
+        kind, column = field.dataType, F.col(f"`{field.name}`")
         size += F.lit(FIXED_COLUMN_BYTES)
-        if isinstance(field.dataType, (StringType, BinaryType)):
-            size += F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
+        if isinstance(kind, (StringType, BinaryType)):
+            size += F.coalesce(F.octet_length(column), F.lit(0))
+        elif isinstance(kind, (ArrayType, MapType, StructType)):
+            size += F.octet_length(F.to_json(F.struct(column.alias("v"))))
+        elif not isinstance(kind, AtomicType):
+            return float("inf")
     return df.select(F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
-def has_more_rows(df: DataFrame, count: int) -> bool:
-    """Whether ``df`` has more than ``count`` rows; reads only as many partitions as that takes."""
-    return bool(df.select(F.lit(1)).offset(count).take(1))
-
-
 def fits_broadcast(df: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> bool:
-    """Whether ``df`` stays within ``limit`` bytes. A table with too many rows to fit
-    is recognised without a pass over it; any other is measured in full."""
-    smallest_row = FIXED_COLUMN_BYTES * max(len(df.columns), 1)
-    return not has_more_rows(df, limit // smallest_row) and measured_bytes(df) <= limit
+    """Whether ``df`` stays within ``limit`` bytes."""
+    return measured_bytes(df) <= limit
 
 
 def hint_small(df: DataFrame, small: bool) -> DataFrame:
