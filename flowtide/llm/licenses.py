@@ -58,7 +58,7 @@ TEMPLATE_SCORE, PHRASE_SCORE = 1.0, 0.5
 
 RESULT = (
     "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, "
-    "base_labels string, labels string, score double, n_templates bigint"
+    "base_labels string, labels string, score double"
 )
 
 _LOWER = bytes(textops.LOWER.tolist())
@@ -192,14 +192,13 @@ class Scanner:
             for place in _places(line, phrase):
                 places.append(place)
                 base.add(label)
-        found, accepted = set(base), 0
+        found = set(base)
         for word, starts in self.templates.items():
             for place in _places(line, b" %s " % word):
                 for label, automaton in starts:
                     if automaton.accepts_at(words, place) is not None:
                         found.add(label)
-                        accepted += 1
-        score = TEMPLATE_SCORE if accepted else PHRASE_SCORE if places else 0.0
+        score = TEMPLATE_SCORE if found - base else PHRASE_SCORE if places else 0.0
         return (
             len(words),
             len(places),
@@ -208,7 +207,6 @@ class Scanner:
             ",".join(sorted(base)),
             ",".join(sorted(found)),
             score,
-            accepted,
         )
 
 
@@ -219,7 +217,7 @@ def scan_licenses(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(phrases, templates)
-        kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.int64()]
+        kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
         names = [part.split()[0] for part in RESULT.split(", ")]
         for batch in batches:
             rows = [scanner.scan(text) for text in textops.byte_texts(batch.column("text"))]

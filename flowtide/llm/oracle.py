@@ -7,65 +7,55 @@ import string
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _LOWERED = f"translate({{}}, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
 
-# Each template as a pattern over words with a blank behind each, from its first word on.
+# Words stand between two blanks each, so that neighbouring places share none.
 _TEMPLATES = {
-    "apache-2.0": "licensed under the apache license version 2 0 ",
+    "apache-2.0": "licensed under the apache license version 2 0",
     "bsd-text": (
         "redistribution and use in source and binary forms with or without modification are permitted provided "
-        "that the following conditions are met "
+        "that the following conditions are met"
     ),
-    "cc-by-nc-4.0": "licensed under (a (creative commons )?license )?cc by nc 4 0 ",
-    "copyright-notice": "copyright (c )?([^ ]+ ){0,8}all rights reserved ",
-    "gpl-3.0": "licensed under the (terms of the )?gnu general public license version 3 ",
-    "mit": "released under the (terms of the )?mit license ",
+    "cc-by-nc-4.0": "licensed under( a( creative commons)? license)? cc by nc 4 0",
+    "copyright-notice": "copyright( c)?( [^ ]+){0,8} all rights reserved",
+    "gpl-3.0": "licensed under the( terms of the)? gnu general public license version 3",
+    "mit": "released under the( terms of the)? mit license",
     "mit-text": (
-        "permission is hereby granted free of charge to any person obtaining a copy of ([^ ]+ ){0,12}to deal in the "
-        "software without restriction "
+        "permission is hereby granted free of charge to any person obtaining a copy of( [^ ]+){0,12} to deal in the "
+        "software without restriction"
     ),
 }
-_PHRASES = {"cc-by": ["cc", "by"], "gpl": ["general", "public", "license"], "reserved": ["all", "rights", "reserved"]}
+_PHRASES = {"cc-by": "cc by", "gpl": "general public license", "reserved": "all rights reserved"}
 
 
-def _places(words: list[str]) -> str:
-    test = " AND ".join(f"w[i + {k}] = '{word}'" for k, word in enumerate(words))
-    return f"list_filter(range(1, len(w) + 1), lambda i: {test})"
+def _spaced(pattern: str) -> str:
+    return " " + pattern.replace(" ", "  ").replace("[^  ]", "[^ ]") + " "
 
 
-def _accepted(pattern: str) -> str:
-    first = pattern.split(" ")[0]
-    return (
-        f"list_filter(range(1, len(w) + 1), lambda i: w[i] = '{first}' AND "
-        f"regexp_matches(array_to_string(w[i:i + 63], ' ') || ' ', '^{pattern}'))"
-    )
-
-
-_NAMED = {f"b{i}": _places(words) for i, words in enumerate(_PHRASES.values())}
-_NAMED |= {f"t{i}": _accepted(pattern) for i, pattern in enumerate(_TEMPLATES.values())}
-_LABEL_OF = dict(zip(_NAMED, [*_PHRASES, *_TEMPLATES]))
+_COUNT = "len(regexp_extract_all({}, '[^ ]+'))"
+_PARTS = {f"p{i}": _spaced(phrase) for i, phrase in enumerate(_PHRASES.values())}
+_SIZE = {f"p{i}": len(phrase.split()) for i, phrase in enumerate(_PHRASES.values())}
+_FIRST = ", ".join(f"CASE WHEN len({p}) > 1 THEN {_COUNT.format(p + '[1]')} END" for p in _PARTS)
+_LAST = ", ".join(f"CASE WHEN len({p}) > 1 THEN n - {_SIZE[p]} - {_COUNT.format(p + '[-1]')} END" for p in _PARTS)
+_TEST = {label: f"len(p{i}) > 1" for i, label in enumerate(_PHRASES)}
+_TEST |= {label: f"regexp_matches(line, '{_spaced(pattern)}')" for label, pattern in _TEMPLATES.items()}
 
 
 def _labels(names: list[str]) -> str:
-    cases = ", ".join(f"CASE WHEN len({n}) > 0 THEN '{_LABEL_OF[n]}' END" for n in sorted(names, key=_LABEL_OF.get))
-    return f"array_to_string(list_filter([{cases}], lambda x: x IS NOT NULL), ',')"
-
+    cases = ", ".join(f"CASE WHEN {_TEST[name]} THEN '{name}' END" for name in sorted(names))
+    return f"concat_ws(',', {cases})"
 
-_B = [n for n in _NAMED if n[0] == "b"]
-_T = [n for n in _NAMED if n[0] == "t"]
-_ALL_BASE = f"list_concat({', '.join(_B[:2])})"
-_ALL_BASE = f"list_concat({_ALL_BASE}, {_B[2]})"
 
 OP4 = f"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all({_LOWERED.format("coalesce(text, '')")},
     '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
-found AS (SELECT doc_id, len(w) AS n_words, {", ".join(f"{sql} AS {n}" for n, sql in _NAMED.items())} FROM words),
-base AS (SELECT *, {_ALL_BASE} AS places, {" + ".join(f"len({n})" for n in _T)} AS templates FROM found)
-SELECT doc_id, n_words::BIGINT AS n_words, len(places)::BIGINT AS n_base,
-  (list_min(places) - 1)::BIGINT AS first_word, (list_max(places) - 1)::BIGINT AS last_word,
-  {_labels(_B)} AS base_labels, {_labels([*_B, *_T])} AS labels,
-  CASE WHEN templates > 0 THEN 1.0 WHEN len(places) > 0 THEN 0.5 ELSE 0.0 END::DOUBLE AS score,
-  templates::BIGINT AS n_templates
-FROM base
+lines AS (SELECT doc_id, len(w) AS n, ' ' || array_to_string(w, '  ') || ' ' AS line FROM words),
+found AS (SELECT *, {", ".join(f"string_split(line, '{phrase}') AS {p}" for p, phrase in _PARTS.items())} FROM lines)
+SELECT doc_id, n::BIGINT AS n_words, ({" + ".join(f"len({p}) - 1" for p in _PARTS)})::BIGINT AS n_base,
+  least({_FIRST})::BIGINT AS first_word, greatest({_LAST})::BIGINT AS last_word,
+  {_labels([*_PHRASES])} AS base_labels, {_labels([*_PHRASES, *_TEMPLATES])} AS labels,
+  CASE WHEN {" OR ".join(_TEST[t] for t in _TEMPLATES)} THEN 1.0
+    WHEN {" OR ".join(_TEST[t] for t in _PHRASES)} THEN 0.5 ELSE 0.0 END::DOUBLE AS score
+FROM found
 """
 
 _BASE32 = " || ".join(
