@@ -32,7 +32,8 @@ from flowtide.llm import textops
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-TABLE_ROWS = 1 << 19
+TABLE_ROWS = 1 << 18
+ENCODED_AT_ONCE = 1 << 12
 # Piece types, model types and field numbers of the model file.
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 UNIGRAM, BPE = 1, 2
@@ -162,11 +163,11 @@ class Codec:
 
     def __init__(self, data: bytes, table_rows: int = TABLE_ROWS, check: bool = True):
         self.model = parse_model(data)
-        self.whole = build_tokenizer(self.model)
-        self.bare = build_tokenizer(self.model)
-        self.bare.normalizer = normalizers.Sequence([])
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data) if check else None
         self.apart = self.model.words_apart and not self.model.charsmap and not self.model.squeeze
+        self.tokenizer = build_tokenizer(self.model)
+        if self.apart:
+            self.tokenizer.normalizer = normalizers.Sequence([])
         self.table: dict[str, bytes] = {}
         self.table_rows, self.differ = table_rows, set()
         self.bytes_of = [self._bytes(piece, kind) for piece, _, kind in self.model.pieces]
@@ -193,22 +194,27 @@ class Codec:
         if len(self.table) + len(fresh) > self.table_rows:
             self.table, self.differ = {}, set()
             fresh = list(segments)
-        for segment, found in zip(fresh, self.bare.encode_batch_fast(fresh, add_special_tokens=False)):
-            self.table[segment] = struct.pack(f"<{len(found.ids)}i", *found.ids)
-        if self.reference:
-            # The reference puts its own marker in front, so one is taken off first.
-            own = [s for s in fresh if s[0] == MARK or not self.model.dummy_prefix]
-            texts = [s[1:] if self.model.dummy_prefix else s for s in own]
-            theirs = self.reference.encode(texts, num_threads=1)
-            for segment, text, ids in zip(own, texts, theirs):
-                if text and self.table[segment] != struct.pack(f"<{len(ids)}i", *ids):
-                    self.differ.add(segment)
+        for at in range(0, len(fresh), ENCODED_AT_ONCE):
+            part = fresh[at : at + ENCODED_AT_ONCE]
+            for segment, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self.table[segment] = struct.pack(f"<{len(found.ids)}i", *found.ids)
+            if self.reference:
+                self._compare(part)
+
+    def _compare(self, segments: list[str]) -> None:
+        """Note the segments that the reference encodes otherwise. It puts its own marker in front, so one is
+        taken off first."""
+        own = [s for s in segments if s[0] == MARK or not self.model.dummy_prefix]
+        texts = [s[1:] if self.model.dummy_prefix else s for s in own]
+        for segment, text, ids in zip(own, texts, self.reference.encode(texts, num_threads=1)):
+            if text and self.table[segment] != struct.pack(f"<{len(ids)}i", *ids):
+                self.differ.add(segment)
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bool]]:
         """Token ids as 32-bit integers, and whether the reference library agrees."""
         if not self.apart:
             theirs = self.reference.encode(texts, num_threads=1) if self.reference else None
-            found = self.whole.encode_batch_fast(texts, add_special_tokens=False)
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
             ids = [f.ids if t else [] for f, t in zip(found, texts)]
             same = [True] * len(ids) if theirs is None else [a == b for a, b in zip(ids, theirs)]
             return [(struct.pack(f"<{len(i)}i", *i), s) for i, s in zip(ids, same)]
@@ -226,7 +232,7 @@ class Codec:
         return line[1:] if self.model.dummy_prefix and line[:1] == b" " else line
 
 
-GROUP_CHARS = 1 << 20
+GROUP_CHARS = 1 << 18
 
 
 def _groups(texts: list[str]) -> Iterator[list[str]]:
