@@ -17,6 +17,7 @@ holds the marker itself can't be told from one with blanks, so its ``round_trip`
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import struct
 from collections.abc import Iterator
@@ -32,8 +33,9 @@ from flowtide.llm import textops
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-TABLE_ROWS = 1 << 18
+TABLE_ROWS = 1 << 17
 ENCODED_AT_ONCE = 1 << 12
+THREADS = 2
 # Piece types, model types and field numbers of the model file.
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 UNIGRAM, BPE = 1, 2
@@ -162,6 +164,7 @@ class Codec:
     _SEGMENT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
     def __init__(self, data: bytes, table_rows: int = TABLE_ROWS, check: bool = True):
+        os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))  # read when the library starts its threads
         self.model = parse_model(data)
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data) if check else None
         self.apart = self.model.words_apart and not self.model.charsmap and not self.model.squeeze
@@ -232,20 +235,14 @@ class Codec:
         return line[1:] if self.model.dummy_prefix and line[:1] == b" " else line
 
 
-GROUP_CHARS = 1 << 18
+GROUP_BYTES = 1 << 18
 
 
-def _groups(texts: list[str]) -> Iterator[list[str]]:
-    """Consecutive texts of ``GROUP_CHARS`` in all, or one longer text."""
-    group, size = [], 0
-    for text in texts:
-        if group and size + len(text) > GROUP_CHARS:
-            yield group
-            group, size = [], 0
-        group.append(text)
-        size += len(text)
-    if group:
-        yield group
+def _groups(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """Consecutive texts of ``GROUP_BYTES`` in all, or one longer text, with the place of the first."""
+    _, offsets = textops.raw(column)
+    for a, b in textops.pieces(offsets, GROUP_BYTES):
+        yield a, [text or "" for text in column.slice(a, b - a).to_pylist()]
 
 
 def encode_documents(docs: DataFrame, model_path: str = MODEL_PATH, *, with_ids: bool = True) -> DataFrame:
@@ -257,9 +254,8 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL_PATH, *, with_ids:
         codec = None
         for batch in batches:
             codec = codec or Codec(shared.value)
-            ids, texts = batch.column("doc_id"), [t or "" for t in batch.column("text").to_pylist()]
-            at = 0
-            for group in _groups(texts):
+            ids = batch.column("doc_id")
+            for at, group in _groups(batch.column("text")):
                 rows = codec.encode(group)
                 back = [codec.decode(row) == text.encode() for (row, _), text in zip(rows, group)]
                 length = np.array([len(row) // 4 for row, _ in rows], np.int64)
@@ -274,6 +270,5 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL_PATH, *, with_ids:
                 columns["round_trip"] = pa.array(back)
                 columns["parity"] = pa.array([same for _, same in rows])
                 yield pa.RecordBatch.from_pydict(columns)
-                at += len(group)
 
     return docs.select("doc_id", "text").mapInArrow(run, TOKENS if with_ids else RESULT)
