@@ -39,6 +39,13 @@ LEGACY_FLOW_COLUMNS = {
     "total_net_flow_amount": "tot_net_flow_amt",
 }
 
+# The older names of the flow series' columns.
+LEGACY_SERIES_COLUMNS = {
+    **LEGACY_FLOW_COLUMNS,
+    "redemption_amount": "_rdmpt_amt",
+    "abs_redemption_amount": "_abs_rdmpt_amt",
+}
+
 # Keys and measures of the standard flow table.
 PLAN_KEYS = [
     "month_number",

@@ -7,7 +7,10 @@ Gap filling and trailing means come in two plans with the same result:
   aggregation; only this reduced table goes through a window, where a group is
   as long as its history in periods. The outcome is joined back to the rows.
 * ``bounded_groups=True`` for rows that are already aggregated, so that a group
-  holds a few rows per period. One window over the rows does it in one shuffle.
+  holds a few rows per period. Windows over the rows do it in one shuffle.
+
+Rows that share key and period are peers. In either plan peers first share their largest
+(forward) or smallest (backward, first seen) value, so no result depends on the order of rows.
 """
 
 from __future__ import annotations
@@ -133,71 +136,47 @@ def _fill_by_period(df, by, period, cols, found, keep_own):
     return filled.withColumns(replaced).drop(*names)
 
 
+def _fill_in_place(df, by, period, cols, found, keep_own):
+    """Fill by windows over the rows; peers share their bounds before any order counts."""
+    peers = W.partitionBy(*by, period)
+    bounds = {
+        f"_{n}_{c}": f(c).over(peers) for c in cols for n, f in (("low", F.min), ("high", F.max))
+    }
+    values = {c: found(f"_low_{c}", f"_high_{c}") for c in cols}
+    filled = {c: F.coalesce(F.col(c), v) if keep_own else v for c, v in values.items()}
+    return df.withColumns(bounds).withColumns(filled).drop(*bounds)
+
+
+def _fill(df, by, period, cols, found, bounded_groups, keep_own=True):
+    plan = _fill_in_place if bounded_groups else _fill_by_period
+    return plan(df, by, period, cols, found, keep_own)
+
+
 def forward_fill(
-    df: DataFrame,
-    by: Sequence[str],
-    period: str,
-    cols: Sequence[str],
-    *,
-    ties: Sequence[str] = (),
-    bounded_groups: bool = False,
+    df: DataFrame, by: Sequence[str], period: str, cols: Sequence[str], *, bounded_groups: bool = False
 ) -> DataFrame:
-    """Replace NULLs by the latest value up to the row's period.
-
-    Rows that share key and period are peers: a NULL takes the largest value
-    among its peers before it looks at earlier periods. With bounded groups,
-    ``ties`` orders the peers instead.
-    """
-    if bounded_groups:
-        return df.withColumns({c: _latest(by, [period, *ties], c) for c in cols})
-    return _fill_by_period(
-        df, by, period, cols, lambda low, high: _latest(by, [period], high), keep_own=True
-    )
+    """Replace NULLs by the latest value up to the row's period, the largest among peers."""
+    return _fill(df, by, period, cols, lambda low, high: _latest(by, [period], high), bounded_groups)
 
 
 def back_fill(
-    df: DataFrame,
-    by: Sequence[str],
-    period: str,
-    cols: Sequence[str],
-    *,
-    ties: Sequence[str] = (),
-    bounded_groups: bool = False,
+    df: DataFrame, by: Sequence[str], period: str, cols: Sequence[str], *, bounded_groups: bool = False
 ) -> DataFrame:
     """Replace NULLs by the next value from the row's period on, the smallest among peers."""
-    if bounded_groups:
-        return df.withColumns({c: _following(by, [period, *ties], c) for c in cols})
-    return _fill_by_period(
-        df, by, period, cols, lambda low, high: _following(by, [period], low), keep_own=True
-    )
+    return _fill(df, by, period, cols, lambda low, high: _following(by, [period], low), bounded_groups)
 
 
 def running_first(
-    df: DataFrame,
-    by: Sequence[str],
-    period: str,
-    cols: Sequence[str],
-    *,
-    ties: Sequence[str] = (),
-    bounded_groups: bool = False,
+    df: DataFrame, by: Sequence[str], period: str, cols: Sequence[str], *, bounded_groups: bool = False
 ) -> DataFrame:
     """Replace every value by the first one seen up to the row's period, the
     smallest among peers."""
-    if bounded_groups:
-        return df.withColumns({c: _first_so_far(by, [period, *ties], c) for c in cols})
-    return _fill_by_period(
-        df, by, period, cols, lambda low, high: _first_so_far(by, [period], low), keep_own=False
-    )
+    first = lambda low, high: _first_so_far(by, [period], low)
+    return _fill(df, by, period, cols, first, bounded_groups, keep_own=False)
 
 
 def fill_gaps(
-    df: DataFrame,
-    by: Sequence[str],
-    period: str,
-    cols: Sequence[str],
-    *,
-    ties: Sequence[str] = (),
-    bounded_groups: bool = False,
+    df: DataFrame, by: Sequence[str], period: str, cols: Sequence[str], *, bounded_groups: bool = False
 ) -> DataFrame:
     """Forward fill, then back fill what is left at the start of each group.
 
@@ -205,14 +184,10 @@ def fill_gaps(
     window answers both.
     """
 
-    def nearest(order: Sequence[str], low: str, high: str) -> Column:
-        return F.coalesce(_latest(by, order, high), _first_of_group(by, order, low))
+    def nearest(low: str, high: str) -> Column:
+        return F.coalesce(_latest(by, [period], high), _first_of_group(by, [period], low))
 
-    if bounded_groups:
-        return df.withColumns({c: nearest([period, *ties], c, c) for c in cols})
-    return _fill_by_period(
-        df, by, period, cols, lambda low, high: nearest([period], low, high), keep_own=True
-    )
+    return _fill(df, by, period, cols, nearest, bounded_groups)
 
 
 def trailing_avg(

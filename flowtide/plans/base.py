@@ -48,7 +48,7 @@ def filled_base(
     if not bounded_groups:
         return operator(base, FILL_KEYS, MONTH, cols)
     rows = base.repartition(*TRAILING_KEYS)
-    return operator(rows, FILL_KEYS, MONTH, cols, ties=[TICKER], bounded_groups=True)
+    return operator(rows, FILL_KEYS, MONTH, cols, bounded_groups=True)
 
 
 def base_features(

@@ -43,7 +43,7 @@ def standard_flows(
     ``firms`` are name patterns or a lookup table. Each fund and share class can
     have several vehicles, and each vehicle carries the full amount. The sums
     are therefore made before the vehicles are joined, on rows already reduced to the
-    listed funds.
+    listed funds. A vehicle listed several times carries the amount as many times.
     """
     rows = standardize_columns(raw, names)
     if line is not None:
@@ -56,9 +56,11 @@ def standard_flows(
     small = fits_broadcast(funds)
     listed = hint_small(funds.select(*FUND_KEYS).distinct(), small)
     totals = aggregate_flows(rows.join(listed, FUND_KEYS, "left_semi"), [*PLAN_KEYS, *FUND_KEYS])
+    vehicles = funds.groupBy(*FUND_KEYS, *VEHICLE_KEYS).agg(F.count(F.lit(1)).alias("_listed"))
+    amounts = [(F.col(m) * F.col("_listed")).cast(totals.schema[m].dataType).alias(m) for m in FLOW_MEASURES]
     return (
-        totals.join(hint_small(funds, small), FUND_KEYS)
-        .select(*PLAN_KEYS, *FUND_KEYS, *VEHICLE_KEYS, *FLOW_MEASURES)
+        totals.join(hint_small(vehicles, small), FUND_KEYS)
+        .select(*PLAN_KEYS, *FUND_KEYS, *VEHICLE_KEYS, *amounts)
         .withColumn("data_source", F.lit(tag))
     )
 

@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 def series_name(path: str) -> str:
     """Name of a series from its file name: ``House Pricing-Index.csv`` gives
     ``house_pricing_index``."""
-    name = path.rstrip("/").rsplit("/", 1)[-1].removesuffix(".csv")
+    name = re.sub(r"\.csv$", "", path.rstrip("/").rsplit("/", 1)[-1], flags=re.IGNORECASE)
     return re.sub("[ -]", "_", name).lower()
 
 
@@ -27,20 +27,23 @@ def read_series_dir(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """Every ``.csv`` entry of a folder as a named DataFrame.
 
     Spark lists the folder, so any file system it knows will do. A series saved
-    by Spark is itself a folder of part files and counts as one entry.
+    by Spark is itself a folder of part files and counts as one entry. Entries whose names
+    differ only in what ``series_name`` takes away are refused.
     """
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", "*.[cC][sS][vV]")
         .load(folder)
     )
-    root = f"/{folder.rstrip('/').rsplit('/', 1)[-1]}/"
+    root = re.sub(r"^[a-z]+:(//[^/]*)?", "", folder.rstrip("/"), flags=re.IGNORECASE)
+    root = f"/{root.lstrip('/')}/"
     entries: dict[str, str] = {}
     for file in map(unquote, listing.inputFiles()):
-        head, _, tail = file.rpartition(root)
+        head, _, tail = file.partition(root)
         entry = f"{head}{root}{tail.split('/', 1)[0]}"
-        entries[series_name(entry)] = entry
+        if entries.setdefault(series_name(entry), entry) != entry:
+            raise ValueError(f"{entry} and {entries[series_name(entry)]} have one name")
     return {name: read_series(spark, path) for name, path in sorted(entries.items())}
 
 

@@ -2,25 +2,63 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from flowtide.sources.settle import remove_folder
+
+VERSION = "version-"
 
 
 def ensure_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
 
 
+def _location(spark: SparkSession, name: str) -> str | None:
+    """Where a table's files are, if it lies in a folder of versions."""
+    if not spark.catalog.tableExists(name):
+        return None
+    facts = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+    return facts["data_type"] if facts and VERSION in facts["data_type"] else None
+
+
 def overwrite_table(
     df: DataFrame, name: str, *, path: str | None = None, partition_by: Sequence[str] = ()
 ) -> None:
-    """Replace a saved table, its schema included."""
-    writer = df.write.mode("overwrite").format("parquet")
+    """Replace a saved table, its schema included.
+
+    The rows are written to a folder of their own under ``path`` (the warehouse by default) and the
+    table is pointed at it only after that. If the query fails, the old table stays as it
+    is; ``df`` may read the table it replaces. The old version's files go last.
+    """
+    spark = df.sparkSession
+    base = path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}"
+    folder = f"{base}/{VERSION}{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(folder)
+    old = _location(spark, name)
+    columns = [f for f in df.schema.fields if f.name not in partition_by]
+    columns += [df.schema[c] for c in partition_by]
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
+        keys = ", ".join(f"`{c}`" for c in partition_by)
+        types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
+        spark.sql(f"CREATE TABLE {name} ({types}) USING parquet PARTITIONED BY ({keys}) LOCATION '{folder}'")
+        spark.catalog.recoverPartitions(name)
+    else:
+        spark.catalog.createTable(name, source="parquet", schema=StructType(columns), path=folder)
+    if old is not None and old != folder:
+        remove_folder(spark, old)
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Drop a saved table with the files of its version."""
+    old = _location(spark, name)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if old is not None:
+        remove_folder(spark, old)
 
 
 def snapshot(

@@ -1,4 +1,6 @@
-"""Readers, saved tables, views and checkpoints."""
+"""Readers, saved tables, views and settled tables."""
+
+import os
 
 import pytest
 from flowtide.functions import fixed_values as V
@@ -6,7 +8,7 @@ from flowtide.plans import macro
 from flowtide.sources import readers, settle, tables
 from pyspark.sql import functions as F
 
-from tests.helpers import rows
+from tests.helpers import plan, rows
 
 
 @pytest.mark.parametrize(
@@ -113,8 +115,9 @@ def test_snapshot_partitions_prune(spark, tmp_path):
         spark, "flow_store.by_month", lambda: df, True,
         path=str(tmp_path / "by_month"), partition_by=["month_number"],
     )
-    assert len(saved.where("month_number = 1").inputFiles()) > 0
-    assert saved.where("month_number = 1").count() == 25
+    one = saved.where("month_number = 1")
+    assert one.count() == 25 and len(one.select("id").inputFiles()) <= len(saved.inputFiles())
+    assert "PartitionFilters: [isnotnull(month_number" in plan(one)
 
 
 def test_views(spark):
@@ -126,35 +129,48 @@ def test_views(spark):
     assert rows(again) == [(3,)]
 
 
-def test_settled_rows_come_from_the_named_folder(spark):
+def test_settled_rows_come_from_the_named_folder_and_go(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert settle.shared_folder(spark) == folder
-    df = settle.settle(spark.range(5))
-    assert folder in spark.sparkContext.getCheckpointDir()
-    assert "Scan ExistingRDD" in df._jdf.queryExecution().toString()
-    assert rows(df) == [(i,) for i in range(5)]
-
-
-def test_row_check_stops_early(spark):
-    tracker = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("row-check", "row check")
-    try:
-        assert settle.has_more_rows(spark.range(0, 10**9, numPartitions=400), 1000)
-        jobs = tracker.getJobIdsForGroup("row-check")
-        stages = [tracker.getStageInfo(s) for j in jobs for s in tracker.getJobInfo(j).stageIds]
-        assert sum(stage.numTasks for stage in stages) < 400
-    finally:
-        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-    assert not settle.has_more_rows(spark.range(1000), 1000)
-    assert settle.has_more_rows(spark.range(1001), 1000)
-
-
-def test_large_lookup_is_refused_without_measuring(spark, monkeypatch):
-    def measured(df):
-        raise AssertionError("measured a table whose row count already rules it out")
-
-    monkeypatch.setattr(settle, "measured_bytes", measured)
-    assert not settle.fits_broadcast(spark.range(1000), 999 * settle.FIXED_COLUMN_BYTES)
+    with settle.settled_scope(spark):
+        df = settle.settle(spark.range(5).select("id", F.array("id").alias("a")))
+        files = df.inputFiles()
+        assert all(folder in f for f in files) and rows(df) == [(i, [i]) for i in range(5)]
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in files)
+
+
+def test_sizes_are_measured_once_without_rows_on_the_driver(spark):
+    lookup = spark.range(3000).select("id", F.array_repeat(F.lit("x" * 100), 300).alias("many"))
+    assert settle.measured_bytes(lookup) > 3000 * 300 * 100
+    assert not settle.fits_broadcast(lookup) and settle.fits_broadcast(spark.range(1000))
+    settle._measured[lookup] = 1
+    assert settle.fits_broadcast(lookup)
+
+
+def test_failed_rebuild_keeps_the_old_rows(spark):
+    tables.ensure_database(spark, "flow_store")
+    name = "flow_store.survivor"
+    tables.snapshot(spark, name, lambda: spark.range(3), refresh=True)
+    broken = spark.range(3).select(F.raise_error(F.lit("no")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        tables.snapshot(spark, name, lambda: broken, refresh=True)
+    assert rows(spark.table(name)) == [(0,), (1,), (2,)]
+    own = tables.snapshot(spark, name, lambda: spark.table(name).where("id > 0"), refresh=True)
+    assert rows(own) == [(1,), (2,)]
+    tables.drop_table(spark, name)
+    assert not spark.catalog.tableExists(name)
+
+
+def test_no_series_is_lost(spark, tmp_path):
+    top = tmp_path / "data"
+    (top / "data").mkdir(parents=True)
+    (top / "GDP.CSV").write_text("AsOfDate,GDP\n01-31-2020,1\n")
+    (top / "data" / "data.csv").write_text("AsOfDate,x\n01-31-2020,1\n")
+    assert set(readers.read_series_dir(spark, str(top))) == {"gdp", "data"}
+    (top / "A B.csv").write_text("AsOfDate,x\n")
+    (top / "a-b.csv").write_text("AsOfDate,x\n")
+    with pytest.raises(ValueError, match="one name"):
+        readers.read_series_dir(spark, str(top))
 
 
 class FakeReader:

@@ -166,10 +166,9 @@ def ticker_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fund_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per month and ticker; no returns for February."""
+    """One row per month and ticker."""
     return (
         _sold_parts(spark, sf_dir)
-        .where(F.month("l_shipdate") != 2)
         .select(
             shifted_month("l_shipdate").alias("month_number"),
             F.col("ticker").alias("ticker_symbol"),
@@ -212,13 +211,13 @@ def daily_series(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     dot = F.when(day % 7 == 0, F.lit("."))
     return {
         "consumersentimentindex": series(Sentiment=total),
-        "gdp": series(month.isin(3, 6, 9, 12) & (day <= 10), GDP=n),
+        "gdp": series(month.isin(3, 6, 9, 12), GDP=n),
         "goldprice": series(GoldPrice=F.coalesce(dot, high.cast("string"))),
-        "house_pricing_index": series(day <= 15, House__Price__Index=low),
+        "house_pricing_index": series(House__Price__Index=low),
         "market_volatility_vix": series(VIX_Open=low, VIX_High=high, VIX_Low=low, VIX_Close=n),
         "oilprice": series(urgent > 0, Oil__Price=urgent),
-        "tdsp_fodsp": series(day <= 20, TDSP=n, FODSP=total),
-        "ted_spread": series(month <= 6, TED__Spread=high),
+        "tdsp_fodsp": series(TDSP=n, FODSP=total),
+        "ted_spread": series(TED__Spread=high),
         "treasury_yield": series(Treasury__Yield=F.coalesce(dot, n.cast("string"))),
     }
 
@@ -285,11 +284,10 @@ def advisor_sales_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vehicle_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fund code of every vehicle but those of the last brand."""
+    """Fund code of every vehicle."""
     brand = F.substring_index("p_brand", "#", -1).cast("int")
     return (
         table(spark, sf_dir, "part")
-        .where(brand < len(BRAND_CODES))
         .select(
             F.col("p_partkey").alias("InvestmentVehicleID"),
             one_of(BRAND_CODES, brand - 1).alias("ParentFundAcronymCode"),
@@ -298,14 +296,13 @@ def vehicle_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def business_line_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Business lines of all vehicles but small ones, by solution, share class and account type."""
+    """Business lines of all vehicles by solution, share class and account type."""
     solutions = F.explode(F.array(*[F.lit(x) for x in ("A", "N", "R")])).alias("RK_SOLTN_CD")
     classes = F.explode(F.array(*[F.lit(x) for x in (0, 1, 2)])).alias("FUND_SHARE_CLASS_ID")
     accounts = F.explode(F.array(*[F.lit(x) for x in ("F", "O")])).alias("INVSR_ACCT_TYP_CD")
     size, share = F.col("p_size"), F.col("FUND_SHARE_CLASS_ID")
     return (
         table(spark, sf_dir, "part")
-        .where(F.col("p_type") != "SMALL")
         .select(F.col("p_partkey").alias("INV_VEH_ID"), "p_size", solutions)
         .select("*", classes)
         .select("*", accounts)

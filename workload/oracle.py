@@ -143,7 +143,6 @@ returns AS (
          {coded('p_type', CATEGORY_OF_TYPE)} AS morningstar_category_grouped,
          CAST(sum(CAST(l_discount AS {MONEY})) AS DOUBLE) AS return_1_month
   FROM lineitem JOIN part ON l_partkey = p_partkey
-  WHERE month(l_shipdate) <> 2
   GROUP BY ALL)"""
 
 DAILY = f"""
@@ -160,14 +159,14 @@ daily AS (
          sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS urgent
   FROM orders GROUP BY ALL),
 s1 AS (SELECT AsOfDate, month_number, d, CAST(total AS VARCHAR) AS "Sentiment" FROM daily),
-s2 AS (SELECT AsOfDate, CAST(n AS VARCHAR) AS "GDP" FROM daily WHERE m IN (3, 6, 9, 12) AND d <= 10),
+s2 AS (SELECT AsOfDate, CAST(n AS VARCHAR) AS "GDP" FROM daily WHERE m IN (3, 6, 9, 12)),
 s3 AS (SELECT AsOfDate, CASE WHEN d % 7 = 0 THEN '.' ELSE CAST(high AS VARCHAR) END AS "GoldPrice" FROM daily),
-s4 AS (SELECT AsOfDate, CAST(low AS VARCHAR) AS "House_Price_Index" FROM daily WHERE d <= 15),
+s4 AS (SELECT AsOfDate, CAST(low AS VARCHAR) AS "House_Price_Index" FROM daily),
 s5 AS (SELECT AsOfDate, CAST(low AS VARCHAR) AS "VIX_Open", CAST(high AS VARCHAR) AS "VIX_High",
               CAST(low AS VARCHAR) AS "VIX_Low", CAST(n AS VARCHAR) AS "VIX_Close" FROM daily),
 s6 AS (SELECT AsOfDate, CAST(urgent AS VARCHAR) AS "Oil_Price" FROM daily WHERE urgent > 0),
-s7 AS (SELECT AsOfDate, CAST(n AS VARCHAR) AS "TDSP", CAST(total AS VARCHAR) AS "FODSP" FROM daily WHERE d <= 20),
-s8 AS (SELECT AsOfDate, CAST(high AS VARCHAR) AS "TED_Spread" FROM daily WHERE m <= 6),
+s7 AS (SELECT AsOfDate, CAST(n AS VARCHAR) AS "TDSP", CAST(total AS VARCHAR) AS "FODSP" FROM daily),
+s8 AS (SELECT AsOfDate, CAST(high AS VARCHAR) AS "TED_Spread" FROM daily),
 s9 AS (SELECT AsOfDate, CASE WHEN d % 7 = 0 THEN '.' ELSE CAST(n AS VARCHAR) END AS "Treasury_Yield" FROM daily),
 series AS (
   SELECT * FROM s1 LEFT JOIN s2 USING (AsOfDate) LEFT JOIN s3 USING (AsOfDate)
@@ -371,15 +370,14 @@ facts AS (
 vehicles AS (
   SELECT p_partkey AS INV_VEH_ID,
          ({sql_list(BRAND_CODES)})[CAST(split_part(p_brand, '#', 2) AS INTEGER)] AS code
-  FROM part WHERE p_brand <> 'Brand#25'),
+  FROM part),
 lines AS (
   SELECT p_partkey AS INV_VEH_ID, RK_SOLTN_CD, FUND_SHARE_CLASS_ID, INVSR_ACCT_TYP_CD,
          CASE WHEN p_size % 3 = 0 THEN 'PC' ELSE 'IR' END AS line_1,
          ({sql_list(LINE_2_CYCLE)})[(p_size + FUND_SHARE_CLASS_ID) % {len(LINE_2_CYCLE)} + 1] AS line_2,
          ({sql_list(LINE_3_CYCLE)})[(p_size + FUND_SHARE_CLASS_ID) % {len(LINE_3_CYCLE)} + 1] AS line_3
   FROM part, (VALUES ('A'), ('N'), ('R')) r(RK_SOLTN_CD), (VALUES (0), (1), (2)) c(FUND_SHARE_CLASS_ID),
-       (VALUES ('F'), ('O')) t(INVSR_ACCT_TYP_CD)
-  WHERE p_type <> 'SMALL'),
+       (VALUES ('F'), ('O')) t(INVSR_ACCT_TYP_CD)),
 joined AS (
   SELECT facts.*, code, line_1, line_2, line_3,
          asset_value + team_value AS assets,
@@ -462,7 +460,7 @@ ORACLE = {
     "ncf_moving_avg": with_([FLOWS, NET], moving("net_cash_flow", "totals")),
     "anomaly_labels": with_([FLOWS, GFA_REDEEMED], moving("abs_tot_rdmpt_amt", "totals", LABEL)),
     "fund_flow_series": flow_series({}),
-    "fund_flow_series_legacy_names": flow_series(V.LEGACY_FLOW_COLUMNS),
+    "fund_flow_series_legacy_names": flow_series(V.LEGACY_SERIES_COLUMNS),
     "net_flow_two_ways": with_(
         [ADVISOR],
         "SELECT MO_NUM, CAST(sum(asset_value) + sum(team_value) AS DOUBLE) AS sum_of_sums, "
@@ -482,8 +480,8 @@ ORACLE = {
     ),
     "valid_plans": with_(
         [RAW],
-        "SELECT month_number, business_line_1, count(*) AS n_rows FROM raw WHERE status = 'F' "
-        f"AND TRY_CAST(retirement_plan_id AS BIGINT) <> 0 AND month_number > {V.MONTH_NUMBER_START} GROUP BY ALL",
+        "SELECT month_number, business_line_1, count(*) AS n_rows FROM raw WHERE "
+        f"TRY_CAST(retirement_plan_id AS BIGINT) <> 0 AND month_number > {V.MONTH_NUMBER_START} GROUP BY ALL",
     ),
     "share_classes": with_(
         [FUNDS],

@@ -53,16 +53,16 @@ def fund_flow_series(spark, sf):
 
 def fund_flow_series_legacy_names(spark, sf):
     """The same series under the older column names."""
-    return C.standardize_columns(fund_flow_series(spark, sf), V.LEGACY_FLOW_COLUMNS)
+    return C.standardize_columns(fund_flow_series(spark, sf), V.LEGACY_SERIES_COLUMNS)
 
 
 def net_flow_two_ways(spark, sf):
     """Sum of sums next to sum of row totals; they differ where a part is NULL."""
     value, team = "ASSET_VAL_AMT", "TEAM_ALLOC_ASSET_VAL_AMT"
     rows = A.advisor_asset_facts(spark, sf)
-    by_part = aggregates.net_flows(rows, ["MO_NUM"], [value, team], name="sum_of_sums")
-    by_row = rows.groupBy("MO_NUM").agg(F.sum(F.col(value) + F.col(team)).alias("sum_of_rows"))
-    return by_part.join(by_row, "MO_NUM")
+    return rows.groupBy("MO_NUM").agg(
+        (F.sum(value) + F.sum(team)).alias("sum_of_sums"), F.sum(F.col(value) + F.col(team)).alias("sum_of_rows")
+    )
 
 
 # Lookups and standard flows
@@ -120,7 +120,8 @@ def union_of_sources(spark, sf):
 
 def valid_plans(spark, sf):
     """Rows of usable plan ids after the start month, counted by month and line."""
-    rows = C.standardize_columns(A.raw_flows(spark, sf, "F"), V.FLOW_COLUMNS)
+    both = combine.union_all([A.raw_flows(spark, sf, status) for status in ("F", "O")])
+    rows = C.standardize_columns(both, V.FLOW_COLUMNS)
     kept = rows.where(
         C.valid_id(F.col("retirement_plan_id")) & (F.col(MONTH) > V.MONTH_NUMBER_START)
     )

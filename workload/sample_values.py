@@ -52,8 +52,7 @@ ORGANIZATIONS = [
     "Independent 1", "Independent 2", "Edward Jonas", "WellsFargo", "Raymond James via LPL",
 ]
 
-# Fund codes by brand number, 1 first. The next to last is in no bucket
-# and the last brand is in no vehicle dimension.
+# Fund codes by brand number, 1 first. The last two are in no bucket.
 BRAND_CODES = [
     "AFTD25", "TCGTD30", "EUPAC", "AMBAL", "GFA", "NPF", "WMIF", "BFA", "FI", "NWF", "WGI",
     "AMCAP", "AMF", "GVT", "SCWF", "ICA", "IFA", "CIB", "IBFA", "AHIT", "NEF", "SBF", "MMF",
