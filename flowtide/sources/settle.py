@@ -27,10 +27,11 @@ _measured: WeakKeyDictionary[DataFrame, float] = WeakKeyDictionary()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names, which all executors reach."""
+    """The folder that ``spark.checkpoint.dir`` names; where it is unset, one in the
+    warehouse, which all executors reach as well."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_settled"
     return folder.rstrip("/")
 
 
