@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowtide.functions.fixed_values import FLOW_MEASURES
 from flowtide.operators.aggregates import flow_totals, net_flows, period_totals
 from flowtide.operators.windows import (
     anomaly_labels,
@@ -43,17 +42,17 @@ def fund_redemptions(df: DataFrame) -> DataFrame:
     return _monthly_redemptions(df).orderBy(MONTH, FUND)
 
 
-def fund_detail(df: DataFrame, fund: str) -> DataFrame:
+def fund_detail(df: DataFrame, fund: str, *, ordered: bool = True) -> DataFrame:
     """All rows of one fund with the absolute redemption and the month number.
 
-    Sorted by month and then by the other columns, which lets the sort split a
-    month over several tasks.
+    They are sorted by month, which costs a second pass over the facts for the sort's ranges;
+    ``ordered=False`` leaves them where they are.
     """
     rows = df.where(F.col(FUND) == fund).withColumn(
         "abs_redemption_amount", F.abs("redemption_amount")
     )
-    rest = [c for c in df.columns if c not in {MONTH, FUND, *FLOW_MEASURES}]
-    return month_counter(rows, MONTH).orderBy(MONTH, *rest, *FLOW_MEASURES)
+    counted = month_counter(rows, MONTH)
+    return counted.orderBy(MONTH) if ordered else counted
 
 
 def redemption_moving_averages(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from flowtide.functions import fixed_values as V
 from flowtide.operators import lookups, windows
-from flowtide.plans import advisor, base, flows
+from flowtide.plans import advisor, analysis, base, flows
 from flowtide.sources import settle
 from pyspark.sql import functions as F
 
@@ -68,6 +68,15 @@ def test_dimensions_beyond_the_limit_are_shuffled(spark, tmp_path, monkeypatch):
         large = advisor.advisor_assets(assets, *dims)
         assert sorted(map(str, large.collect())) == expected
         assert "SortMergeJoin" in plan(large) and "BroadcastHashJoin" not in plan(large)
+        # The facts were summed before they were settled, and move once for both dimensions.
+        moves = exchanges(plan(large), "FileScan parquet [MO_NUM")[0]
+        assert sum("hashpartitioning(INV_VEH_ID" in n for n in moves) == 1
+        measures = {"Assets": F.col("ASSET_VAL_AMT")}
+        monkeypatch.setattr(advisor, "settle", lambda df: df)
+        sums = advisor.advisor_rows(assets, *dims, F.col("ASSET_VAL_AMT"), measures=measures)
+        nodes = ancestors(plan(sums), "FileScan parquet [MO_NUM")[0]
+        lowest = max(i for i, n in enumerate(nodes) if "Exchange" in n)
+        assert "partial_sum" in " ".join(nodes[lowest:])
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -198,3 +207,26 @@ def test_registered_queries_scan_facts_without_single_partition(spark, sf_dir):
         text = plan(query(spark, sf_dir))
         for path in exchanges(text, "FileScan parquet [l_"):
             assert not any("SinglePartition" in n for n in path)
+
+
+def test_fund_detail_is_sorted_unless_told_not_to(spark, sf_dir):
+    rows_ = Q.A.fund_flows(spark, sf_dir)
+    assert "rangepartitioning" not in plan(analysis.fund_detail(rows_, "GFA", ordered=False))
+    months = [r.month_number for r in analysis.fund_detail(rows_, "GFA").collect()]
+    assert months == sorted(months)
+
+
+def test_legacy_names_are_these():
+    assert V.LEGACY_SERIES_COLUMNS == {
+        "month_number": "mo_num",
+        "parent_fund_acronym_group": "fund_acrnm_cd",
+        "redemption_amount": "_rdmpt_amt",
+        "sale_amount": "sls_amt",
+        "exchange_in_amount": "exchg_in_amt",
+        "exchange_out_amount": "exchg_out_amt",
+        "abs_redemption_amount": "_abs_rdmpt_amt",
+        "out_amount": "out_amt",
+        "net_flow_amount": "net_flow_amt",
+        "exchange_net_flow_amount": "exchg_net_flow_amt",
+        "total_net_flow_amount": "tot_net_flow_amt",
+    }

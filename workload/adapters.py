@@ -244,14 +244,20 @@ def series_folder(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
-def _advisor_facts(spark: SparkSession, sf_dir: str, *amounts: Column) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(
-        shifted_month("l_shipdate").alias("MO_NUM"),
-        F.col("l_suppkey").alias("FINCL_ITRMY_PRSON_ID"),
+def _line_keys() -> list[Column]:
+    return [
         F.col("l_partkey").alias("INV_VEH_ID"),
         F.col("l_returnflag").alias("RK_SOLTN_CD"),
         (F.col("l_linenumber") % 3).alias("FUND_SHARE_CLASS_ID"),
         F.col("l_linestatus").alias("INVSR_ACCT_TYP_CD"),
+    ]
+
+
+def _advisor_facts(spark: SparkSession, sf_dir: str, *amounts: Column) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(
+        shifted_month("l_shipdate").alias("MO_NUM"),
+        F.col("l_suppkey").alias("FINCL_ITRMY_PRSON_ID"),
+        *_line_keys(),
         F.when(F.col("l_linenumber") == 7, F.lit("Y")).otherwise(F.lit("N")).alias("TEAM_IND"),
         *amounts,
     )
@@ -296,23 +302,16 @@ def vehicle_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def business_line_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Business lines of all vehicles by solution, share class and account type."""
-    solutions = F.explode(F.array(*[F.lit(x) for x in ("A", "N", "R")])).alias("RK_SOLTN_CD")
-    classes = F.explode(F.array(*[F.lit(x) for x in (0, 1, 2)])).alias("FUND_SHARE_CLASS_ID")
-    accounts = F.explode(F.array(*[F.lit(x) for x in ("F", "O")])).alias("INVSR_ACCT_TYP_CD")
+    """Business lines by vehicle, solution, share class and account type, for the combinations that occur."""
+    keys = table(spark, sf_dir, "lineitem").select(*_line_keys()).distinct()
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("INV_VEH_ID"), "p_size")
     size, share = F.col("p_size"), F.col("FUND_SHARE_CLASS_ID")
-    return (
-        table(spark, sf_dir, "part")
-        .select(F.col("p_partkey").alias("INV_VEH_ID"), "p_size", solutions)
-        .select("*", classes)
-        .select("*", accounts)
-        .select(
-            "INV_VEH_ID",
-            "RK_SOLTN_CD",
-            "FUND_SHARE_CLASS_ID",
-            "INVSR_ACCT_TYP_CD",
-            F.when(size % 3 == 0, F.lit("PC")).otherwise(F.lit("IR")).alias("BusinessLine1"),
-            one_of(LINE_2_CYCLE, (size + share) % len(LINE_2_CYCLE)).alias("BusinessLine2"),
-            one_of(LINE_3_CYCLE, (size + share) % len(LINE_3_CYCLE)).alias("BusinessLine3"),
-        )
+    return keys.join(parts, "INV_VEH_ID").select(
+        "INV_VEH_ID",
+        "RK_SOLTN_CD",
+        "FUND_SHARE_CLASS_ID",
+        "INVSR_ACCT_TYP_CD",
+        F.when(size % 3 == 0, F.lit("PC")).otherwise(F.lit("IR")).alias("BusinessLine1"),
+        one_of(LINE_2_CYCLE, (size + share) % len(LINE_2_CYCLE)).alias("BusinessLine2"),
+        one_of(LINE_3_CYCLE, (size + share) % len(LINE_3_CYCLE)).alias("BusinessLine3"),
     )

@@ -199,6 +199,20 @@ base AS (
 BASE_CTES = [*FLOW_CTES, RETURNS, DAILY, BASE]
 BASE_VALUES = [*V.FLOW_MEASURES, *KEPT_MEASURES, "return_1_month"]
 
+DAILY_BASE = BASE.replace(MACRO_LAST, MACRO_DAILY)
+DAILY_FILLED = f"""
+peers AS (
+  SELECT *, {', '.join(f'max({c}) OVER same AS high_{c}, min({c}) OVER same AS low_{c}' for c in BASE_VALUES)}
+  FROM base WINDOW same AS (PARTITION BY {', '.join(V.FILL_KEYS)}, month_number)),
+filled AS (
+  SELECT * EXCLUDE ({', '.join(f'high_{c}, low_{c}' for c in BASE_VALUES)}) REPLACE (
+    {', '.join(f'coalesce({c}, last_value(high_{c} IGNORE NULLS) OVER past, first_value(low_{c} IGNORE NULLS) OVER ahead) AS {c}' for c in BASE_VALUES)})
+  FROM peers
+  WINDOW past AS (PARTITION BY {', '.join(V.FILL_KEYS)} ORDER BY month_number
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+         ahead AS (PARTITION BY {', '.join(V.FILL_KEYS)} ORDER BY month_number
+                   ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))"""
+
 FILLED = f"""
 ff AS (
   SELECT * EXCLUDE ({', '.join(BASE_VALUES)}),
@@ -376,8 +390,9 @@ lines AS (
          CASE WHEN p_size % 3 = 0 THEN 'PC' ELSE 'IR' END AS line_1,
          ({sql_list(LINE_2_CYCLE)})[(p_size + FUND_SHARE_CLASS_ID) % {len(LINE_2_CYCLE)} + 1] AS line_2,
          ({sql_list(LINE_3_CYCLE)})[(p_size + FUND_SHARE_CLASS_ID) % {len(LINE_3_CYCLE)} + 1] AS line_3
-  FROM part, (VALUES ('A'), ('N'), ('R')) r(RK_SOLTN_CD), (VALUES (0), (1), (2)) c(FUND_SHARE_CLASS_ID),
-       (VALUES ('F'), ('O')) t(INVSR_ACCT_TYP_CD)),
+  FROM (SELECT DISTINCT l_partkey, l_returnflag AS RK_SOLTN_CD, l_linenumber % 3 AS FUND_SHARE_CLASS_ID,
+               l_linestatus AS INVSR_ACCT_TYP_CD FROM lineitem)
+  JOIN part ON l_partkey = p_partkey),
 joined AS (
   SELECT facts.*, code, line_1, line_2, line_3,
          asset_value + team_value AS assets,
@@ -490,6 +505,9 @@ ORACLE = {
     ),
     "macro_monthly": with_([DAILY], MACRO_DAILY),
     "macro_last_of_month": with_([DAILY], MACRO_LAST),
+    "macro_text": with_(
+        [DAILY], f"SELECT month_number AS mo_num, {', '.join(MEASURES)} FROM series"
+    ),
     "macro_from_files": with_([DAILY], MACRO_DAILY),
     "month_dates": with_(
         [DAILY],
@@ -500,6 +518,12 @@ ORACLE = {
     ),
     "base_table": with_(BASE_CTES, as_doubles("base")),
     "base_filled": with_([*BASE_CTES, FILLED], as_doubles("filled")),
+    "base_filled_daily": with_(
+        [*FLOW_CTES, RETURNS, DAILY, DAILY_BASE, DAILY_FILLED],
+        "SELECT month_number, ticker_symbol, count(*) AS n_rows, "
+        f"{', '.join(f'CAST(sum(CAST({c} AS DECIMAL(28,2))) AS DOUBLE) AS {c}' for c in BASE_VALUES)} "
+        "FROM filled GROUP BY ALL",
+    ),
     "base_features": with_(
         [*BASE_CTES, FILLED], trailing(INDEX, 0, ", ".join(V.TRAILING_KEYS), "filled", V.FLOW_MEASURES)
     ),

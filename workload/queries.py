@@ -32,7 +32,7 @@ def fund_redemptions(spark, sf):
 
 
 def fund_detail(spark, sf):
-    return analysis.fund_detail(A.fund_flows(spark, sf), FOCUS_FUND)
+    return analysis.fund_detail(A.fund_flows(spark, sf), FOCUS_FUND, ordered=False)
 
 
 def redemption_moving_avg(spark, sf):
@@ -148,6 +148,11 @@ def macro_last_of_month(spark, sf):
     return macro.macro_monthly(A.daily_series(spark, sf), last_of_month=True)
 
 
+def macro_text(spark, sf):
+    """Daily rows under the older month name, the measures left as text."""
+    return macro.macro_monthly(A.daily_series(spark, sf), month="mo_num", cast=None)
+
+
 def macro_from_files(spark, sf):
     """The same table from delimited text files, listed and named by folder."""
     return macro.macro_monthly(readers.read_series_dir(spark, A.series_folder(spark, sf)))
@@ -178,6 +183,16 @@ def base_filled(spark, sf):
     return base.filled_base(base_table(spark, sf))
 
 
+def base_filled_daily(spark, sf):
+    """Gaps filled where a month has many indicator rows, which are peers of each other; sums by month and ticker."""
+    indicators = settle(macro_monthly(spark, sf))
+    returns = settle(A.fund_returns(spark, sf))
+    filled = base.filled_base(base.base_table(flows_all(spark, sf), indicators, returns))
+    text = {*V.FILL_KEYS, MONTH, base.TICKER}
+    sums = [F.sum(F.col(c).cast("decimal(28,2)")).alias(c) for c in filled.columns if c not in text]
+    return filled.groupBy(MONTH, base.TICKER).agg(F.count(F.lit(1)).alias("n_rows"), *sums)
+
+
 def base_features(spark, sf):
     return base.base_features(base_table(spark, sf))
 
@@ -322,8 +337,8 @@ REGISTERED = [
     anomaly_labels, fund_flow_series, fund_flow_series_legacy_names, net_flow_two_ways,
     firm_lookup, firm_lookup_raw, fund_lookup, flows_source_a, flows_source_b, flows_all,
     flows_by_firm_table, union_of_sources, valid_plans, share_classes,
-    macro_monthly, macro_last_of_month, macro_from_files, month_dates,
-    base_table, base_filled, base_features, base_features_literal,
+    macro_monthly, macro_last_of_month, macro_text, macro_from_files, month_dates,
+    base_table, base_filled, base_filled_daily, base_features, base_features_literal,
     forward_fill, back_fill, running_first, fill_gaps, trailing_avg, trailing_avg_literal,
     advisor_assets, advisor_sales, line_sums, fund_line_pivot, advisor_dimensions,
     snapshot_fund_lookup, view_redemptions,
