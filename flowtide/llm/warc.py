@@ -1,11 +1,12 @@
 """WARC archives in Zstandard: one frame per record, and a dictionary in front.
 
 An archive begins with a skippable frame that holds the dictionary its records are compressed with.
-Archives are written and read by Spark alone, so they can lie wherever Spark reads and writes:
-each task makes the frames of one archive, and Spark's line writer puts them down one after another, the bytes
-between two lines being an empty skippable frame, which any Zstandard reader passes over. The
-reader loads the dictionary, walks from frame to frame by their block headers, decodes one frame
-per record, and checks the record's headers and lengths. Nothing goes through the driver.
+Archives are written and read by Spark alone, so they can lie wherever Spark reads and writes. An archive
+holds ``ARCHIVE_BYTES`` of frames, or one larger record; a task makes as many as its rows need. Each is a row, and
+Spark's line writer puts every row into a file of its own, whose line end is an empty skippable frame, which
+any Zstandard reader passes over. The reader loads the dictionary, walks from frame to frame by their
+block headers, decodes one frame per record, and checks the record's headers and lengths. So a reader holds one
+archive of bounded size, however many rows a task has written, and nothing goes through the driver.
 
 Of records with equal payloads of ``min_bytes`` or more, the one with the smallest page_id is
 the response, the others are revisits without payload. Defined results: NULL html is an
@@ -19,6 +20,7 @@ import base64
 import hashlib
 import struct
 from collections.abc import Iterator
+from itertools import chain
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -31,6 +33,7 @@ FRAME_MAGIC = 0xFD2FB528
 LEVEL = 3
 DICTIONARY_BYTES = 16 << 10
 TRAINING_BYTES = 512 << 10
+ARCHIVE_BYTES = 16 << 20
 # An empty skippable frame: magic number 0x184D2A50 and length 0.
 SEPARATOR = struct.pack("<II", 0x184D2A50, 0).decode("latin-1")
 # Record layout.
@@ -185,8 +188,9 @@ def dictionary_of(samples: list[bytes]) -> zstandard.ZstdCompressionDict:
         return zstandard.ZstdCompressionDict(b"".join(samples)[:DICTIONARY_BYTES] or b"WARC/1.1")
 
 
-def archive_frames(records: Iterator[bytes]) -> Iterator[bytes]:
-    """The frames of one archive. Records of up to ``TRAINING_BYTES`` at its start make the dictionary."""
+def archives(records: Iterator[bytes], archive_bytes: int = ARCHIVE_BYTES) -> Iterator[list[bytes]]:
+    """The frames of one archive after the other. The first records, up to ``TRAINING_BYTES`` of
+    them, make the dictionary of all."""
     first, size = [], 0
     for record in records:
         first.append(record)
@@ -197,11 +201,17 @@ def archive_frames(records: Iterator[bytes]) -> Iterator[bytes]:
         return
     trained = dictionary_of(first)
     held = trained.as_bytes()
-    yield struct.pack("<II", DICTIONARY_MAGIC, len(held)) + held
+    head = struct.pack("<II", DICTIONARY_MAGIC, len(held)) + held
     writer = zstandard.ZstdCompressor(level=LEVEL, dict_data=trained, write_checksum=True)
-    for part in (first, records):
-        for record in part:
-            yield writer.compress(record)
+    frames, size = [head], len(head)
+    for record in chain(first, records):
+        frame = writer.compress(record)
+        if len(frames) > 1 and size + len(frame) > archive_bytes:
+            yield frames
+            frames, size = [head], len(head)
+        frames.append(frame)
+        size += len(frame)
+    yield frames
 
 
 def with_first_page(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
@@ -221,28 +231,21 @@ def with_first_page(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     )
 
 
-def write_archives(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
-    """Write a record for each page into archives under ``path``, one per task."""
+def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> None:
+    """Write a record for each page into archives under ``path``."""
 
-    def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def records() -> Iterator[bytes]:
             for batch in batches:
                 for page, url, payload, first, revisit in zip(*[c.to_pylist() for c in batch.columns]):
                     yield write_record(page, url, payload, first, revisit)
 
-        held, size = [], 0
-        for frame in archive_frames(records()):
-            held.append(frame)
-            size += len(frame)
-            if size >= 1 << 20:
-                yield pa.RecordBatch.from_pydict({"frame": pa.array(held, pa.binary())})
-                held, size = [], 0
-        if held:
-            yield pa.RecordBatch.from_pydict({"frame": pa.array(held, pa.binary())})
+        for frames in archives(records(), archive_bytes):
+            yield pa.RecordBatch.from_pydict({"archive": pa.array([b"".join(frames)], pa.binary())})
 
     rows = with_first_page(pages, min_bytes).select("page_id", "url", "_payload", "_first", "_revisit")
-    lines = rows.mapInArrow(frames, "frame binary").select(F.col("frame").cast("string"))
-    lines.write.option("lineSep", SEPARATOR).text(path)
+    lines = rows.mapInArrow(whole, "archive binary").select(F.col("archive").cast("string"))
+    lines.write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", 1).text(path)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:

@@ -33,9 +33,23 @@ def test_archives_of_odd_pages(spark):
             ]
 
 
+def test_small_archives_hold_all_records(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").coalesce(1)
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    warc.write_archives(pages, path, archive_bytes=32 << 10)
+    found = warc.read_archives(spark, path).collect()
+    assert sorted(r["page_id"] for r in found) == sorted(r["page_id"] for r in pages.collect())
+    assert all(r["problem"] is None for r in found)
+    sizes = [r["length"] for r in spark.read.format("binaryFile").load(path).select("length").collect()]
+    assert len(sizes) > 3 and max(sizes) <= (32 << 10) + 8
+    for records in ([b"x" * 900] * 5, []):
+        parts = list(warc.archives(iter(records), archive_bytes=1))
+        assert [len(p) for p in parts] == [2] * len(records)
+
+
 def test_damage_is_reported():
     records = [warc.write_record(i, "http://a/", b"x" * i, None, False) for i in range(20)]
-    frames = list(warc.archive_frames(iter(records)))
+    (frames,) = warc.archives(iter(records))
     assert len(frames) == 21
     assert all(r["problem"] is None for r in warc.read_archive(b"".join(frames)))
     assert list(warc.read_archive(b"".join(frames)[:-3]))[-1]["problem"]
