@@ -4,9 +4,10 @@ import uuid
 
 import pytest
 import sentencepiece
-from flowtide.llm import chat, pieces, queries, url_filters, warc
+from flowtide.llm import chat, pieces, queries, sampling, url_filters, warc
 from flowtide.llm.oracle import ORACLE
 from flowtide.sources.settle import shared_folder
+from pyspark.sql import functions as F
 
 
 @pytest.mark.parametrize("name", ["op7_warc", "op8_url_filters", "op9_chat"])
@@ -124,3 +125,24 @@ def test_unigram_models_are_built():
     scored = [("<unk>", 0.0, pieces.UNKNOWN), ("▁", -3.0, 1), ("a", -2.0, 1), ("▁a", -1.0, 1)]
     model = pieces.Model(scored, pieces.UNIGRAM, False, True, False, b"")
     assert pieces.build_tokenizer(model).encode("a a").tokens == ["▁a", "▁a"]
+
+
+def test_columns_of_clashing_names_do_no_harm(spark, sf_dir):
+    """Tables with further columns, named like those that the operators add, give the same rows."""
+    names = ("_id", "_label", "_order", "_row", "_key", "_first", "_payload", "good", "n", "mean", "domain", "suffix")
+    names += ("host", "path", "rule", "upper", "prior", "source", "formatted", "rendered", "parsed", "key", "value")
+
+    def wide(name):
+        df = queries.table(spark, sf_dir, name)
+        more = [F.lit("x").alias(n) for n in names if n not in df.columns]
+        return df, df.select("*", *more)
+
+    (pages, wide_pages), (labels, wide_labels), (turns, wide_turns) = map(wide, ("pages", "labels", "conversations"))
+    for plain, extra in (
+        (url_filters.judge_urls(pages, labels), url_filters.judge_urls(wide_pages, wide_labels)),
+        (chat.digests(chat.format_conversations(turns)), chat.digests(chat.format_conversations(wide_turns))),
+        (warc.with_first_page(pages), warc.with_first_page(wide_pages)),
+        (sampling.known_labels(labels, "toxic", 50), sampling.known_labels(wide_labels, "toxic", 50)),
+    ):
+        assert plain.columns == extra.columns
+        assert plain.exceptAll(extra).count() == 0 and plain.count() == extra.count()
