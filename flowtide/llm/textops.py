@@ -93,6 +93,21 @@ class Words:
         return mixed(value)
 
 
+def beginnings(words: Words, lengths: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and text of the first ``n`` bytes of each longer word, for each of some lengths."""
+    size = words.end - words.start
+    value = np.zeros(len(size), np.uint64)
+    hashes, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    active = np.arange(len(size))
+    for at in range(max(lengths)):
+        active = active[size[active] > at + 1]
+        value[active] = (value[active] ^ words.data[words.start[active] + at]) * _STEP
+        if at + 1 in lengths:
+            hashes.append(mixed(value[active] ^ np.uint64(at + 1)))
+            docs.append(words.doc[active])
+    return np.concatenate(hashes), np.concatenate(docs)
+
+
 def mixed(value: np.ndarray) -> np.ndarray:
     value = (value ^ (value >> np.uint64(32))) * _SPIN
     return value ^ (value >> np.uint64(29))

@@ -2,7 +2,8 @@
 
 A word is a run of ASCII letters and digits and of any characters beyond ASCII, A-Z lower-cased. A text's features
 are its distinct words, neighbouring pairs and pairs with one word between, hashed to
-``2**BITS`` slots. Training goes once through a bounded sample per pass, with a
+``2**BITS`` slots. Inflected words share a stem rather than a form, so words also count by their first
+bytes (``STEMS``), and a word or stem that a text repeats (``REPEATS`` times) is a further feature. Training goes once through a bounded sample per pass, with a
 rate of its own for each slot; the L1 term leaves most weights at exactly zero. What is
 broadcast are the slots and values of the others, ``12 * 2**BITS`` bytes at the very most.
 
@@ -26,6 +27,8 @@ from flowtide.llm.linear import sigmoid
 BITS = 20
 SAMPLE_ROWS = 10000
 PASSES = 5
+STEMS = (5, 7)
+REPEATS = (2, 4)
 MIN_ROWS = 3  # slots of fewer sample rows take no part
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 6.0, 0.0
 REJECT_AT = 0.5
@@ -34,27 +37,44 @@ FEATURES = "_order bigint, _id bigint, _label int, slot array<int>"
 RESULT = "doc_id bigint, held_out boolean, score double, predicted int"
 
 
-def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Slot and text of each word, pair and skip pair."""
+MASK = (1 << BITS) - 1
+
+
+def _again(slot: np.ndarray, times: int) -> np.ndarray:
+    """Slot of the feature that a word's or stem's slot occurs so often in a text."""
+    return textops.slots(textops.mixed(slot.astype(np.uint64) + np.uint64(times << BITS)), BITS)
+
+
+def _grams(data: np.ndarray, offsets: np.ndarray, used: np.ndarray | None = None, leads: np.ndarray | None = None):
+    """Text and slot of each feature as one number, ``text << BITS | slot``, distinct and in order.
+
+    ``used`` tells the slots that are asked for, ``leads`` those of them and of words whose repetition is.
+    """
     words = textops.Words(textops.LOWER[data], offsets, textops.ALNUM)
     hashes = words.hashes()
+    stem, stem_doc = textops.beginnings(words, STEMS)
     near, near_doc = textops.word_pairs(hashes, words.doc, 1)
     skip, skip_doc = textops.word_pairs(hashes, words.doc, 2)
-    return (
-        textops.slots(np.concatenate([hashes, near, skip]), BITS),
-        np.concatenate([words.doc, near_doc, skip_doc]),
-    )
+    single = textops.slots(np.concatenate([hashes, stem]), BITS)
+    single |= np.concatenate([words.doc, stem_doc]) << BITS
+    joint = textops.slots(np.concatenate([near, skip]), BITS)
+    joint |= np.concatenate([near_doc, skip_doc]) << BITS
+    if used is not None:
+        single, joint = single[leads[single & MASK]], joint[used[joint & MASK]]
+    single, count = np.unique(single, return_counts=True)
+    again = [k - (k & MASK) + _again(k & MASK, n) for n in REPEATS for k in (single[count >= n],)]
+    key = np.unique(np.concatenate([single, *again, joint]))
+    return key if used is None else key[used[key & MASK]]
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = textops.raw(batch.column("text"))
         for a, b in textops.pieces(offsets):
-            slot, doc = _grams(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            key = np.unique(doc << BITS | slot)
+            key = _grams(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             ends = np.searchsorted(key, np.arange(b - a + 1) << BITS).astype(np.int32)
             rows = batch.slice(a, b - a)
-            found = pa.ListArray.from_arrays(ends, pa.array((key & (1 << BITS) - 1).astype(np.int32)))
+            found = pa.ListArray.from_arrays(ends, pa.array((key & MASK).astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
                 [*[rows.column(c) for c in ("_order", "_id", "_label")], found],
                 ["_order", "_id", "_label", "slot"],
@@ -116,17 +136,17 @@ class Scorer:
         stored = np.load(io.BytesIO(model))
         self.weights = np.zeros(1 << BITS)
         self.weights[stored["slot"]] = stored["value"]
-        self.used = self.weights != 0
+        self.used, every = self.weights != 0, np.arange(1 << BITS)
+        self.leads = np.logical_or.reduce([self.used, *[self.used[_again(every, n)] for n in REPEATS]])
         self.bias = float(stored["bias"][0])
 
     def scores(self, column: pa.Array) -> np.ndarray:
         data, offsets = textops.raw(column)
         total = np.full(len(offsets) - 1, self.bias)
         for a, b in textops.pieces(offsets):
-            slot, doc = _grams(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            used = self.used[slot]
-            key = np.unique(doc[used] << BITS | slot[used])
-            value = self.weights[key & (1 << BITS) - 1]
+            part, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+            key = _grams(part, own, self.used, self.leads)
+            value = self.weights[key & MASK]
             total[a:b] += np.bincount(key >> BITS, value, minlength=b - a)
         return sigmoid(total)
 
