@@ -55,6 +55,23 @@ def test_no_item_within_its_budget_is_missed(spark):
         assert near > segment.budget or matcher.hits(text) == {1: (near, 0)}
 
 
+def made_items(count):
+    draw = random.Random(4)
+    return [(i, " ".join("".join(draw.choice("abcdefgh") for _ in range(draw.randint(2, 9))) for _ in range(draw.randint(9, 59)))) for i in range(count)]
+
+
+def test_random_passages_of_items_are_found():
+    draw, items = random.Random(5), made_items(40)
+    matcher, shortest = D.Matcher(items), D.WINDOW_WORDS + D.STRIDE_WORDS - 1
+    for item, text in items:
+        words = text.split()
+        for _ in range(5):
+            size = draw.randint(shortest, len(words))
+            at = draw.randint(0, len(words) - size)
+            passage = f"zz yy {' '.join(words[at : at + size])} xx ww".encode()
+            assert item in matcher.hits(passage) and matcher.clean([b"zz", passage]) == [True, False]
+
+
 def test_licenses_match_sql(spark, con, sf_dir):
     mine = sorted(map(str, (tuple(r) for r in queries.op4_licenses(spark, sf_dir).collect())))
     assert mine == sorted(map(str, con.execute(ORACLE["op4_licenses"]).fetchall()))
