@@ -3,7 +3,7 @@
 Texts and items are lower-cased and every run of other ASCII characters than letters and digits becomes one
 blank. An item is read through windows of ``WINDOW_WORDS`` words that begin ``STRIDE_WORDS`` words apart (the
 last ends with the item), so every passage of ``WINDOW_WORDS + STRIDE_WORDS - 1`` words or more holds a whole
-one; an item of fewer words than a window is one window. A window of m bytes may differ by ``min(MAX_EDITS, m // EDIT_BYTES, m // GRAM - 1)``
+one; an item of fewer words than a window is one window. A window of m bytes may differ by ``min(m // EDIT_BYTES, m // GRAM - 1)``
 edits; cut into one piece more than that, at least one piece stands unchanged in any such
 place. The first ``GRAM`` bytes of all pieces are looked up at every position of a text, the places
 found are sifted by Myers' bit-parallel distance, many at once, and what is left is verified with it one by one.
@@ -37,7 +37,6 @@ STRIDE_WORDS = 2
 SEGMENT_WORDS = 16
 GRAM = 8
 EDIT_BYTES = 10
-MAX_EDITS = 4
 MIN_WORDS = 5
 BLOCK_BYTES = 4 << 20
 
@@ -71,7 +70,7 @@ class Segment(NamedTuple):
 
 def window_budget(length: int) -> int:
     """Edits that a window may have; its pieces are never shorter than ``GRAM`` bytes."""
-    return max(0, min(MAX_EDITS, length // EDIT_BYTES, length // GRAM - 1))
+    return max(0, min(length // EDIT_BYTES, length // GRAM - 1))
 
 
 def segments(item: int, text: str | None) -> list[Segment]:

@@ -72,6 +72,24 @@ def test_random_passages_of_items_are_found():
             assert item in matcher.hits(passage) and matcher.clean([b"zz", passage]) == [True, False]
 
 
+def test_items_with_a_tenth_of_their_bytes_changed_are_found():
+    draw = random.Random(6)
+    item = " ".join("".join(draw.choice("abcdefgh") for _ in range(9)) for _ in range(40))
+    matcher = D.Matcher([(1, item)])
+    for step in (12, 13, 14):
+        text = [c if i % step or c == " " else "z" for i, c in enumerate(item)]
+        assert 1 in matcher.hits(f"xx {''.join(text)} yy".encode())
+
+
+def test_items_with_replaced_words_are_found():
+    draw, items = random.Random(7), made_items(40)
+    matcher = D.Matcher(items)
+    for item, text in items:
+        for step in (12, 16, 20) if text.count(" ") > 21 else ():  # else 9 words in a row may not stay
+            words = [w if i % step else "z" * len(w) for i, w in enumerate(text.split(), draw.randrange(step))]
+            assert item in matcher.hits(f"xx {' '.join(words)} yy".encode())
+
+
 def test_licenses_match_sql(spark, con, sf_dir):
     mine = sorted(map(str, (tuple(r) for r in queries.op4_licenses(spark, sf_dir).collect())))
     assert mine == sorted(map(str, con.execute(ORACLE["op4_licenses"]).fetchall()))
