@@ -1,0 +1,52 @@
+"""Near copies by shingles against all pairs."""
+
+import random
+
+import corpus_pipeline
+import pytest
+from flowtide.llm import near_copies, simhash
+
+
+def shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def similar(a, b):
+    return len(a & b) >= 0.8 * len(a | b) if a and b else False
+
+
+def copies(draw, groups, each):
+    """Texts with copies that differ in some words, some of them below the bound."""
+    texts = []
+    for _ in range(groups):
+        words = ["".join(draw.choice("abcdefgh") for _ in range(5)) for _ in range(draw.randint(60, 200))]
+        for n in range(each):
+            edited = list(words)
+            for _ in range(n % 5):
+                edited[draw.randrange(len(words))] = f"new{draw.randrange(10**6)}"
+            texts.append(" ".join([*edited, f"end{n}"]))  # equal texts are not this operator's
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("max_list", [64, 3])
+def test_no_similar_pair_stays_and_none_goes_alone(spark, max_list):
+    rows = copies(random.Random(8), 12, 8)
+    kept = near_copies.drop_near_copies(spark.createDataFrame(rows, "doc_id bigint, text string"), max_list=max_list)
+    left = {r["doc_id"] for r in kept.collect()}
+    sets = {i: shingles(t) for i, t in rows}
+    assert not [(i, j) for i in left for j in left if i < j and similar(sets[i], sets[j])]
+    reached, edge = set(left), set(left)
+    while edge:
+        edge = {j for i in edge for j in sets if j not in reached and similar(sets[i], sets[j])}
+        reached |= edge
+    assert reached == set(sets) and len(left) < len(sets)
+
+
+def test_pipeline_stage_drops_near_copies_of_many_bits(spark, sf_dir):
+    words = ["".join(random.Random(i).choices("abcdefgh", k=5)) for i in range(150)]
+    texts = [" ".join(words), " ".join([*words[:70], "changed", *words[71:]]), " ".join([*words[:40], "x", *words[41:90], "y", *words[91:]])]
+    prints = [simhash.fingerprint(t.encode()) for t in texts]
+    assert any(bin((prints[0] ^ p) & (1 << 64) - 1).count("1") > simhash.MAX_BITS for p in prints[1:])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert [r["doc_id"] for r in corpus_pipeline.keep_one_of_each(spark, docs, sf_dir).collect()] == [0]
