@@ -145,9 +145,63 @@ SELECT conv_id, n_turns::BIGINT AS n_turns, sha256(lines) AS turns_sha256, lengt
 FROM c
 """
 
+OP11 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+t AS (SELECT doc_id, w, array_to_string(w, ' ') AS line FROM d),
+c AS (SELECT line, any_value(w) AS w, min(doc_id) AS node FROM t WHERE len(w) > 0 GROUP BY line),
+g AS (
+  SELECT DISTINCT node, array_to_string(w[i:i + 4], ' ') AS shingle
+  FROM (SELECT node, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM c)),
+z AS (SELECT node, count(*) AS n FROM g GROUP BY node),
+p AS (
+  SELECT x.node AS a, y.node AS b, count(*) AS shared
+  FROM g AS x JOIN g AS y ON x.shingle = y.shingle AND x.node < y.node GROUP BY x.node, y.node),
+l AS (
+  SELECT a, b FROM p JOIN z AS x ON p.a = x.node JOIN z AS y ON p.b = y.node
+  WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(node, reached) AS (
+  SELECT node, node FROM c
+  UNION SELECT r.node, e.b FROM r JOIN e ON r.reached = e.a),
+m AS (SELECT node, min(reached) AS component FROM r GROUP BY node)
+SELECT t.doc_id, coalesce(z.n, 0)::BIGINT AS n_shingles, coalesce(m.component, t.doc_id) AS component_id,
+  t.doc_id = coalesce(m.component, t.doc_id) AS kept
+FROM t LEFT JOIN c ON t.line = c.line LEFT JOIN z ON c.node = z.node LEFT JOIN m ON c.node = m.node
+"""
+
+OP12 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id) AS x,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u
+  FROM documents),
+h AS (
+  SELECT *, len(u) AS n, ('0x' || x[1:8])::UBIGINT % (len(u) + 1) AS h1, ('0x' || x[9:16])::UBIGINT % (len(u) + 1) AS h2,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+      OR ('0x' || x[17:24])::UBIGINT % 100 >= 90 THEN 'plain'
+      WHEN ('0x' || x[25:32])::UBIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+p AS (
+  SELECT *, coalesce(array_to_string(u[1:least(h1, h2)], ''), '') AS head,
+    coalesce(array_to_string(u[least(h1, h2) + 1:greatest(h1, h2)], ''), '') AS mid,
+    coalesce(array_to_string(u[greatest(h1, h2) + 1:n], ''), '') AS tail
+  FROM h)
+SELECT doc_id, n::BIGINT AS n, form,
+  CASE WHEN form <> 'plain' THEN length(head)::BIGINT END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(mid)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || head || '<S>' || tail || '<M>' || mid
+    ELSE '<S>' || tail || '<P>' || head || '<M>' || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p
+"""
+
 ORACLE = {
     "op4_licenses": OP4,
     "op7_warc": OP7,
     "op8_url_filters": OP8,
     "op9_chat": OP9,
+    "op11_minhash": OP11,
+    "op12_infilling": OP12,
 }

@@ -9,10 +9,13 @@ from flowtide.llm import (
     chat,
     cotraining,
     decontamination,
+    infilling,
     licenses,
+    minhash,
     pieces,
     quality_rules,
     simhash,
+    spelling,
     toxicity,
     url_filters,
     warc,
@@ -82,6 +85,18 @@ def op10_sentencepiece(spark, sf):
     return pieces.encode_documents(table(spark, sf, "documents"), with_ids=False)
 
 
+def op11_minhash(spark, sf):
+    return minhash.near_duplicates(table(spark, sf, "documents"))
+
+
+def op12_infilling(spark, sf):
+    return infilling.infill(table(spark, sf, "documents")).drop("output", "restored")
+
+
+def op13_spelling(spark, sf):
+    return spelling.spelling_variants(table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_toxicity": op2_toxicity,
@@ -93,4 +108,7 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_chat": op9_chat,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_minhash": op11_minhash,
+    "op12_infilling": op12_infilling,
+    "op13_spelling": op13_spelling,
 }
