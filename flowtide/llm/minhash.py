@@ -6,16 +6,16 @@ their sets are similar by ``SIMILARITY`` percent or more. Texts of equal words f
 * A class is posted under the coordinate-value pairs of its first ``INDEXED`` minima. Similar texts share ``NEEDED`` of them,
   so any two agree within the first ``INDEXED - NEEDED + 1`` in an order that all texts use: only this prefix is posted, the
   rarest values first, as a table of 65,536 counters tells.
-* Texts that meet in a list have their collisions counted, over the indexed coordinates first; pairs that can't reach ``NEEDED`` are
-  skipped, the others are counted over all ``COORDINATES`` and stay if they reach ``MATCHES``. Of the lists that a pair shares only the
-  first one reports it. Counting compares the lowest byte of each value, which finds no collision less.
+* Pairs that meet in a list and whose sizes allow the similarity have their collisions counted, over the indexed coordinates first; those that
+  can't reach ``NEEDED`` are skipped, the others are counted over all ``COORDINATES`` and stay if they reach ``MATCHES``. Counting
+  compares the lowest byte of each value, which finds no collision less.
 * A pair of 85 % falls below one of the two thresholds with a chance of 4 in 100,000, a pair of 88 % with one in a million.
 * Pairs that remain are confirmed on whole sets of 64-bit shingle hashes.
 
-Lists of more than ``SHORT`` classes take two steps with the same outcome: in blocks of about ``BLOCK`` members, all are compared with
-one hub, which links most of a large group of near copies; after that only pairs of different components are counted, block
-against block. So a group of many similar texts costs a few comparisons each, nothing is capped, and the result
-doesn't depend on either constant.
+Lists of more than ``SHORT`` classes take two steps with the same outcome as all pairs: in blocks of about ``BLOCK`` members, all are compared
+with one hub, which links most of a large group of near copies; after that only pairs of different components are counted, block
+against block, each in the first list that it shares. So a group of many similar texts costs a few comparisons each, nothing is
+capped, and the result doesn't depend on either constant.
 
 Defined results: ASCII letters count in lower case; NULL texts and texts without words have empty sets and are linked with nothing;
 a NULL id takes part but is never the smallest (a component of NULL ids alone is NULL, and its rows are kept); rows that repeat an id with
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from flowtide.llm import textops
 from flowtide.llm.graph import components
-from flowtide.sources.settle import settle
+from flowtide.sources.settle import checked_broadcast, settle
 
 SHINGLE = 5
 SIMILARITY = 85
@@ -146,14 +146,26 @@ def _ranked(signed: DataFrame) -> DataFrame:
     return signed.mapInArrow(run, "node bigint, n bigint, prefix array<bigint>, sketch binary")
 
 
+def _sketches(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, COORDINATES)
+
+
+def matched(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether rows ``i`` and ``j`` agree at enough coordinates; all are counted only where the indexed ones do."""
+    good = (left[i, :INDEXED] == right[j, :INDEXED]).sum(1) >= NEEDED
+    at = np.flatnonzero(good)
+    good[at] = (left[i[at]] == right[j[at]]).sum(1) >= MATCHES
+    return good
+
+
 class _Lists:
     """The postings of some lists, in the order of lists and blocks."""
 
     def __init__(self, table: pa.Table):
-        named = {name: np.asarray(table.column(name)) for name in ("key", "one", "two", "own", "node", "n", "members", "root")}
-        self.key, self.one, self.two, self.own = (named[x] for x in ("key", "one", "two", "own"))
-        self.node, self.n, self.members, self.root = (named[x] for x in ("node", "n", "members", "root"))
-        self.sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, COORDINATES)
+        self.key, self.one, self.two, self.own, self.node, self.n, self.root = (
+            np.asarray(table.column(name)) for name in ("key", "one", "two", "own", "node", "n", "root")
+        )
+        self.sketch = _sketches(table.column("sketch"))
         prefix = table.column("prefix").combine_chunks()
         self.prefix = np.asarray(prefix.flatten()).reshape(-1, PREFIX)
         new = (self.key[1:] != self.key[:-1]) | (self.one[1:] != self.one[:-1]) | (self.two[1:] != self.two[:-1])
@@ -161,16 +173,14 @@ class _Lists:
 
     def counted(self, i: np.ndarray, j: np.ndarray, similarity: int) -> tuple[np.ndarray, np.ndarray]:
         """The pairs that reach both thresholds and whose sizes allow the similarity."""
-        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        found = [(i[:0], j[:0])]
         for at in range(0, len(i), _COMPARED):
             a, b = i[at : at + _COMPARED], j[at : at + _COMPARED]
             low, high = np.minimum(self.n[a], self.n[b]), np.maximum(self.n[a], self.n[b])
             fits = (100 * low >= similarity * high) & (self.node[a] != self.node[b])
             a, b = a[fits], b[fits]
-            for reach, least in ((INDEXED, NEEDED), (COORDINATES, MATCHES)):
-                enough = (self.sketch[a, :reach] == self.sketch[b, :reach]).sum(1) >= least
-                a, b = a[enough], b[enough]
-            found.append((a, b))
+            enough = matched(self.sketch, self.sketch, a, b)
+            found.append((a[enough], b[enough]))
         return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
 
     def once(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -182,26 +192,12 @@ class _Lists:
             first[at : at + _PART] = self.prefix[a, shared.argmax(1)] == self.key[a]
         return i[first], j[first]
 
-    def short_pairs(self, short: int, similarity: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """All pairs of the lists of ``short`` members at most, by their distance in the run."""
-        run = np.repeat(np.arange(len(self.runs) - 1), np.diff(self.runs))
-        fewer = self.members <= short
-        longest = int(np.diff(self.runs)[fewer[self.runs[:-1]]].max(initial=0))
-        for gap in range(1, longest):
-            near = np.flatnonzero((run[gap:] == run[:-gap]) & fewer[gap:])
-            yield self.once(*self.counted(near, near + gap, similarity))
-
-    def hub_pairs(self, short: int, similarity: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """In each block of a longer list, all members with the one of the first few that most of them match."""
+    def hub_pairs(self, similarity: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """In each block, all members with the one of the first few that most of them match."""
         for first, last in zip(self.runs[:-1].tolist(), self.runs[1:].tolist()):
-            if self.members[first] > short:
-                others = np.arange(first, last)
-                best = self.counted(others[:0], others[:0], similarity)
-                for hub in range(first, min(last, first + TRIED_HUBS)):
-                    found = self.counted(np.full(len(others), hub), others, similarity)
-                    if len(found[0]) > len(best[0]):
-                        best = found
-                yield best
+            others = np.arange(first, last)
+            tried = (np.full(len(others), hub) for hub in range(first, min(last, first + TRIED_HUBS)))
+            yield max((self.counted(hub, others, similarity) for hub in tried), key=lambda pairs: len(pairs[0]))
 
     def cross_pairs(self, similarity: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs of different components, of one block or between two."""
@@ -248,9 +244,8 @@ def _compared(postings: DataFrame, ranked: DataFrame, pairs: Callable[[_Lists],
         for lists in _whole_runs(batches):
             yield from lists.named(pairs(lists))
 
-    full = postings.join(ranked, "node").select(
-        "key", "one", "two", "own", "node", "n", "members", "root", "prefix", "sketch"
-    )
+    held = ranked.select("node", "prefix", "sketch")
+    full = postings.join(held, "node").select("key", "one", "two", "own", "node", "n", "root", "prefix", "sketch")
     dealt = full.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two", "node")
     return settle(dealt.mapInArrow(run, "a bigint, b bigint").distinct())
 
@@ -263,15 +258,30 @@ def _own_block(block: int) -> Column:
     return F.pmod(F.xxhash64("node"), _blocks(block)).cast("int")
 
 
-def _short_and_hub_pairs(listed: DataFrame, ranked: DataFrame, short: int, block: int, similarity: int) -> DataFrame:
-    own = F.when(F.col("members") > short, _own_block(block)).otherwise(F.lit(0))
-    postings = listed.withColumn("own", own).withColumns({"one": F.col("own"), "two": F.col("own"), "root": F.col("node")})
+def _short_list_pairs(listed: DataFrame, ranked: DataFrame, short: int, similarity: int) -> DataFrame:
+    """All pairs of the lists of ``short`` members at most, then counted."""
+    few = listed.where(F.col("members") <= short)
+    first = few.select("key", F.col("node").alias("a"), F.col("n").alias("m"))
+    second = few.select("key", F.col("node").alias("b"), F.col("n").alias("k"))
+    fits = (F.col("a") < F.col("b")) & (100 * F.least("m", "k") >= similarity * F.greatest("m", "k"))
+    pairs = first.join(second, ["key"]).where(fits).select("a", "b").distinct()
 
-    def pairs(lists: _Lists) -> Iterator:
-        yield from lists.short_pairs(short, similarity)
-        yield from lists.hub_pairs(short, similarity)
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            every = np.arange(batch.num_rows)
+            good = matched(_sketches(batch.column("x")), _sketches(batch.column("y")), every, every)
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    left = ranked.select(F.col("node").alias("a"), F.col("sketch").alias("x"))
+    right = ranked.select(F.col("node").alias("b"), F.col("sketch").alias("y"))
+    both = settle(pairs).join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    return settle(both.mapInArrow(run, "a bigint, b bigint"))
 
-    return _compared(postings, ranked, pairs)
+
+def _hub_pairs(listed: DataFrame, ranked: DataFrame, short: int, block: int, similarity: int) -> DataFrame:
+    postings = listed.where(F.col("members") > short).withColumn("own", _own_block(block))
+    postings = postings.withColumns({"one": F.col("own"), "two": F.col("own"), "root": F.col("node")})
+    return _compared(postings, ranked, lambda lists: lists.hub_pairs(similarity))
 
 
 def _remaining_pairs(
@@ -295,21 +305,27 @@ def _remaining_pairs(
     return _compared(postings, ranked, lambda lists: lists.cross_pairs(similarity))
 
 
-def _sets(rows: DataFrame, classes: DataFrame, listed: DataFrame, shingle: int) -> DataFrame:
-    """Whole shingle sets of the classes that are in a list, from one text of each."""
-    wanted = settle(classes.join(listed.select("node").distinct(), "node", "left_semi").select("node", "digest", "first_key"))
+def _sets(rows: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
+    """Whole shingle sets of the classes that are in a pair, from one text of each."""
+    nodes = settle(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    wanted = settle(classes.join(checked_broadcast(nodes), "node").select("node", "digest", "first_key"))
 
     def run(batches: Batches) -> Batches:
         for _, found in _each_text(batches, shingle):
             digests, sets = [d for d, _ in found], [s.tobytes() for _, s in found]
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(sets, pa.binary())], ["digest", "shingles"])
 
-    texts = rows.join(wanted.select(F.col("first_key").alias("id")).distinct(), "id", "left_semi")
+    first_keys = settle(wanted.select(F.col("first_key").alias("id")).distinct())
+    texts = rows.join(checked_broadcast(first_keys), "id", "left_semi")
     found = texts.mapInArrow(run, "digest binary, shingles binary")
-    return settle(found.join(wanted, "digest").select("node", "shingles").dropDuplicates(["node"]))
+    return settle(found.join(checked_broadcast(wanted), "digest").select("node", "shingles").dropDuplicates(["node"]))
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+def _confirmed(
+    pairs: DataFrame, rows: DataFrame, classes: DataFrame, similarity: int, shingle: int
+) -> DataFrame:
+    """The pairs whose whole sets are similar enough."""
+    sets = _sets(rows, classes, pairs, shingle)
     first = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     second = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
 
@@ -330,18 +346,20 @@ def _links(
     rows: DataFrame, signed: DataFrame, classes: DataFrame, similarity: int, shingle: int, short: int, block: int
 ) -> DataFrame:
     """Confirmed links that join exactly the classes reachable over similar pairs."""
-    one_each = signed.where("n > 0").join(classes.select("node"), F.col("row") == F.col("node"), "left_semi")
+    own = checked_broadcast(settle(classes.select("node")))
+    one_each = signed.where("n > 0").join(own, F.col("row") == F.col("node"), "left_semi")
     ranked = settle(_ranked(one_each.select(F.col("row").alias("node"), "n", "keys", "sketch")))
-    postings = ranked.select("node", F.explode("prefix").alias("key"))
+    postings = ranked.select("node", "n", F.explode("prefix").alias("key"))
     sizes = postings.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     listed = settle(postings.join(sizes, "key"))
-    sets = _sets(rows, classes, listed, shingle)
-    links = _confirmed(_short_and_hub_pairs(listed, ranked, short, block, similarity), sets, similarity)
+    pairs = _short_list_pairs(listed, ranked, short, similarity)
     if listed.where(F.col("members") > short).isEmpty():
-        return links
+        return _confirmed(pairs, rows, classes, similarity, shingle)
+    pairs = settle(pairs.union(_hub_pairs(listed, ranked, short, block, similarity)).distinct())
+    links = _confirmed(pairs, rows, classes, similarity, shingle)
     found = settle(components(links, "a", "b"))
-    more = _confirmed(_remaining_pairs(listed, ranked, found, short, block, similarity), sets, similarity)
-    return links.union(more)
+    more = _remaining_pairs(listed, ranked, found, short, block, similarity)
+    return links.union(_confirmed(more, rows, classes, similarity, shingle))
 
 
 def near_duplicates(
