@@ -11,7 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowtide.functions.columns import month_index
 from flowtide.operators.aggregates import flow_totals, net_flows, period_totals
+from flowtide.operators.segments import asof_join
 from flowtide.operators.windows import (
     anomaly_labels,
     month_counter,
@@ -66,6 +68,20 @@ def net_flow_moving_averages(df: DataFrame) -> DataFrame:
     return moving_averages(month_counter(totals, MONTH), NET, [FUND], COUNTER)
 
 
+def redemption_share(
+    totals: DataFrame, holdings: DataFrame, by: Sequence[str], *, assets: str = "assets", max_age: int | None = None
+) -> DataFrame:
+    """Redemptions per month as a share of the assets last reported on or before it.
+
+    Assets that were reported more than ``max_age`` months ago count as unknown, as do those of zero.
+    """
+    known = asof_join(
+        totals, holdings, by, MONTH, [assets], max_age=max_age, axis=month_index, since="assets_month"
+    )
+    share = F.col(TOTAL).cast("double") / F.nullif(F.col(assets).cast("double"), F.lit(0.0))
+    return known.withColumn("redemption_share", share)
+
+
 def fund_anomalies(df: DataFrame, funds: str | Sequence[str]) -> DataFrame:
     """Monthly redemptions of a fund, labelled by the moving average they exceed."""
     wanted = [funds] if isinstance(funds, str) else list(funds)

@@ -98,6 +98,40 @@ def fund_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines as one history, numbered by order; the sale amount is known on first lines of every seventh order only."""
+    order, line = F.col("l_orderkey"), F.col("l_linenumber")
+    price = F.col("l_extendedprice").cast(MONEY)
+    return table(spark, sf_dir, "lineitem").select(
+        F.lit("all").alias("ledger"),
+        order.cast("bigint").alias("entry"),
+        line.cast("int").alias("line_number"),
+        F.when((order % 7 == 3) & (line == 1), price).alias("sale_amount"),
+        F.when(F.col("l_returnflag") == "R", -price).alias("redemption_amount"),
+    )
+
+
+def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assets by fund and share class, reported in the third and ninth month of a year."""
+    sold = _sold_parts(spark, sf_dir).select(
+        shifted_month("l_shipdate").alias("month_number"),
+        F.col("fund").alias("parent_fund_acronym_group"),
+        F.col("share_class").alias("parent_share_class_name"),
+        F.col("l_extendedprice").cast(MONEY).alias("price"),
+    )
+    reported = sold.where((F.col("month_number") % 100).isin(3, 9))
+    return reported.groupBy("parent_fund_acronym_group", "parent_share_class_name", "month_number").agg(
+        F.sum("price").alias("assets")
+    )
+
+
+def category_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price of every line with its category and month."""
+    return _sold_parts(spark, sf_dir).select(
+        "category", shifted_month("l_shipdate").alias("month_number"), F.col("l_extendedprice").cast(MONEY).alias("price")
+    )
+
+
 def plans_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plan id and business line of every order."""
     key = F.col("o_custkey")

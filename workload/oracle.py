@@ -369,6 +369,64 @@ def trailing(axis: str, reach: int, by: str, table: str, doubled) -> str:
 
 INDEX = "(month_number // 100 * 12 + month_number % 100)"
 
+# One history of any length
+
+LEDGER = f"""
+ledger AS (
+  SELECT 'all' AS ledger, CAST(l_orderkey AS BIGINT) AS entry, CAST(l_linenumber AS INTEGER) AS line_number,
+         CASE WHEN l_orderkey % 7 = 3 AND l_linenumber = 1 THEN {PRICE} END AS sale_amount,
+         CASE WHEN l_returnflag = 'R' THEN -{PRICE} END AS redemption_amount
+  FROM lineitem),
+entries AS (SELECT entry, max(sale_amount) AS top, min(sale_amount) AS low FROM ledger GROUP BY entry),
+known AS (
+  SELECT entry, last_value(top IGNORE NULLS) OVER (ORDER BY entry ROWS BETWEEN {PAST}) AS before,
+         first_value(low IGNORE NULLS) OVER (ORDER BY entry ROWS BETWEEN {AHEAD}) AS after,
+         first_value(low IGNORE NULLS) OVER (ORDER BY entry ROWS BETWEEN {PAST}) AS first
+  FROM entries)"""
+LEDGER_FILLS = """
+SELECT ledger, entry, line_number, CAST(sale_amount AS DOUBLE) AS sale_amount,
+       CAST(redemption_amount AS DOUBLE) AS redemption_amount,
+       CAST(coalesce(sale_amount, before) AS DOUBLE) AS forward, CAST(coalesce(sale_amount, after) AS DOUBLE) AS backward,
+       CAST(first AS DOUBLE) AS first, CAST(coalesce(sale_amount, before, after) AS DOUBLE) AS nearest
+FROM ledger JOIN known USING (entry)"""
+LEDGER_TRAILING = f"""
+SELECT ledger, entry, line_number, {doubles(["sale_amount", "redemption_amount"])},
+       {', '.join(f"{average('redemption_amount', f'w{p}')} AS avg_redemption_amount_lag_{p}" for p in (3, 50, 1000))}
+FROM ledger
+WINDOW {', '.join(f"w{p} AS (PARTITION BY ledger ORDER BY entry RANGE BETWEEN {p} PRECEDING AND 1 PRECEDING)" for p in (3, 50, 1000))}"""
+
+SHARE = f"""
+monthly AS (
+  SELECT month_number, {PEERS}, abs(sum(redemption_amount)) AS abs_tot_rdmpt_amt FROM flows GROUP BY ALL),
+holdings AS (
+  SELECT {month('l_shipdate')} AS assets_month, {coded('p_type', FUND_OF_TYPE)} AS parent_fund_acronym_group,
+         {CLASS} AS parent_share_class_name, sum({PRICE}) AS assets
+  FROM lineitem JOIN part ON l_partkey = p_partkey WHERE month(l_shipdate) IN (3, 9) GROUP BY ALL),
+found AS (
+  SELECT m.*, h.assets_month AS reported, h.assets AS reported_assets
+  FROM monthly m ASOF LEFT JOIN holdings h
+    ON m.parent_fund_acronym_group = h.parent_fund_acronym_group
+    AND m.parent_share_class_name = h.parent_share_class_name AND m.month_number >= h.assets_month),
+aged AS (
+  SELECT *, {INDEX} - (reported // 100 * 12 + reported % 100) <= 4 AS fresh FROM found)"""
+SHARE_ROWS = f"""
+SELECT month_number, {PEERS}, CAST(abs_tot_rdmpt_amt AS DOUBLE) AS abs_tot_rdmpt_amt,
+       CASE WHEN fresh THEN CAST(reported_assets AS DOUBLE) END AS assets, CASE WHEN fresh THEN CAST(reported AS DOUBLE) END AS assets_month,
+       CASE WHEN fresh THEN CAST(abs_tot_rdmpt_amt AS DOUBLE) / nullif(CAST(reported_assets AS DOUBLE), 0) END AS redemption_share
+FROM aged"""
+
+PEER_RETURNS = """
+SELECT *, percent_rank() OVER (PARTITION BY month_number, morningstar_category_grouped ORDER BY return_1_month) AS percent_rank
+FROM returns"""
+PEER_SALES = f"""
+ranked AS (
+  SELECT {coded('p_type', CATEGORY_OF_TYPE)} AS category, {month('l_shipdate')} AS month_number,
+         percent_rank() OVER (PARTITION BY {coded('p_type', CATEGORY_OF_TYPE)} ORDER BY {PRICE}) AS percent_rank
+  FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+PEER_SALES_ROWS = """
+SELECT category, month_number, count(*) AS n_rows, max(percent_rank) AS highest, min(percent_rank) AS lowest
+FROM ranked GROUP BY category, month_number"""
+
 # Advisor tables
 
 ADVISOR = f"""
@@ -547,6 +605,12 @@ ORACLE = {
     ),
     "trailing_avg": with_([FLOWS], trailing(INDEX, 0, PEERS, "flows", V.FLOW_MEASURES)),
     "trailing_avg_literal": with_([FLOWS], trailing("month_number", 1, PEERS, "flows", V.FLOW_MEASURES)),
+    "ledger_fills": with_([LEDGER], LEDGER_FILLS),
+    "ledger_trailing": with_([LEDGER], LEDGER_TRAILING),
+    "trailing_avg_segments": with_([FLOWS], trailing(INDEX, 0, PEERS, "flows", V.FLOW_MEASURES)),
+    "redemption_share": with_([FLOWS, SHARE], SHARE_ROWS),
+    "peer_rank_returns": with_([RETURNS], PEER_RETURNS),
+    "peer_rank_sales": with_([PEER_SALES], PEER_SALES_ROWS),
     "advisor_assets": advisor(wide_sums("Assets", "assets", False, False), "assets <> 0"),
     "advisor_sales": advisor(
         wide_sums("Sales", "sales", True, True) + wide_sums("Redemptions", "redemptions", True, True),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from flowtide.functions import columns as C
 from flowtide.functions import fixed_values as V
-from flowtide.operators import aggregates, combine, lookups, pivots, windows
+from flowtide.operators import aggregates, combine, lookups, pivots, segments, windows
 from flowtide.plans import advisor, analysis, base, flows, macro
 from flowtide.sources import readers, tables
 from flowtide.sources.settle import settle, shared_folder
@@ -241,6 +241,54 @@ def trailing_avg_literal(spark, sf):
     return _trailing(spark, sf, mode="literal")
 
 
+# One history of any length: scans in segments
+
+
+def ledger_fills(spark, sf):
+    """Sale amounts known on a few lines only, filled along the one history of all orders in the four ways."""
+    rows = A.ledger(spark, sf)
+    ways = {
+        "forward": segments.forward_fill, "backward": segments.back_fill,
+        "first": segments.running_first, "nearest": segments.fill_gaps,
+    }
+    for name, fill in ways.items():
+        rows = fill(rows.withColumn(name, F.col("sale_amount")), ["ledger"], "entry", [name])
+    return rows
+
+
+def ledger_trailing(spark, sf):
+    """Mean redemption of the lines of the 3, 50 and 1000 orders before, along the same history."""
+    return segments.trailing_avg(
+        A.ledger(spark, sf), "redemption_amount", ["ledger"], "entry", [3, 50, 1000], mode="number"
+    )
+
+
+def trailing_avg_segments(spark, sf):
+    """Trailing means by fund and share class, from differences of running sums."""
+    return segments.trailing_avg(A.fund_flows(spark, sf), "redemption_amount", FUND_CLASS, MONTH)
+
+
+def redemption_share(spark, sf):
+    """Monthly redemptions by fund and share class as a share of the last holding, four months old at most."""
+    totals = aggregates.period_totals(A.fund_flows(spark, sf), [MONTH, *FUND_CLASS], "redemption_amount")
+    shares = analysis.redemption_share(totals, A.holdings(spark, sf), FUND_CLASS, max_age=4)
+    return shares.withColumn("assets_month", F.col("assets_month").cast("double"))
+
+
+def peer_rank_returns(spark, sf):
+    """Monthly returns of tickers ranked among those of their month and category."""
+    return segments.peer_rank(A.fund_returns(spark, sf), "return_1_month", [MONTH, "morningstar_category_grouped"])
+
+
+def peer_rank_sales(spark, sf):
+    """Every line's price ranked within its whole category."""
+    rows = A.category_sales(spark, sf)
+    ranked = segments.peer_rank(rows, "price", ["category"])
+    return ranked.groupBy("category", "month_number").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max("percent_rank").alias("highest"), F.min("percent_rank").alias("lowest")
+    )
+
+
 # Advisor tables
 
 
@@ -340,6 +388,7 @@ REGISTERED = [
     macro_monthly, macro_last_of_month, macro_text, macro_from_files, month_dates,
     base_table, base_filled, base_filled_daily, base_features, base_features_literal,
     forward_fill, back_fill, running_first, fill_gaps, trailing_avg, trailing_avg_literal,
+    ledger_fills, ledger_trailing, trailing_avg_segments, redemption_share, peer_rank_returns, peer_rank_sales,
     advisor_assets, advisor_sales, line_sums, fund_line_pivot, advisor_dimensions,
     snapshot_fund_lookup, view_redemptions,
 ]
