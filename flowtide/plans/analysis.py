@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowtide.functions.columns import month_index
+from flowtide.functions.fixed_values import ANOMALY_NONE
 from flowtide.operators.aggregates import flow_totals, net_flows, period_totals
+from flowtide.operators.lags import LAGS, correlations, lagged
 from flowtide.operators.segments import asof_join
 from flowtide.operators.windows import (
     anomaly_labels,
@@ -27,6 +29,7 @@ FUND = "parent_fund_acronym_group"
 COUNTER = "month_counter"
 TOTAL = "abs_tot_rdmpt_amt"
 NET = "net_cash_flow"
+LABEL = "period_anomaly_type"
 
 
 def counted_months(df: DataFrame) -> DataFrame:
@@ -90,6 +93,20 @@ def fund_anomalies(df: DataFrame, funds: str | Sequence[str]) -> DataFrame:
     )
 
 
+def macro_correlations(
+    months: DataFrame, indicators: DataFrame, cols: Sequence[str], with_lags: Sequence[int] = LAGS
+) -> DataFrame:
+    """How indicators of the same and of earlier months go with months of high redemptions.
+
+    ``months`` are labelled as by ``fund_anomalies``; a month is high if it has any label but the normal one.
+    """
+    high = months.select(MONTH, (F.col(LABEL) != ANOMALY_NONE).cast("double").alias("_high"))
+    wide = lagged(indicators.select(MONTH, *cols), MONTH, cols, with_lags, spine=high.select(MONTH).distinct())
+    now = indicators.select(MONTH, *cols)
+    series = {c: (c, 0) for c in cols} | {f"{c}_lag_{n}": (c, n) for c in cols for n in with_lags}
+    return correlations(high.join(wide, MONTH).join(now, MONTH, "left"), "_high", series)
+
+
 def fund_flow_series(df: DataFrame, fund: str) -> DataFrame:
     """In- and outflow measures of one fund by month."""
     totals = settle(flow_totals(df.where(F.col(FUND) == fund), [FUND, MONTH]))

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from flowtide.sources.settle import remove_folder
-
 VERSION = "version-"
 
 
@@ -32,7 +31,9 @@ def overwrite_table(
 
     The rows are written to a folder of their own under ``path`` (the warehouse by default) and the
     table is pointed at it only after that. If the query fails, the old table stays as it
-    is; ``df`` may read the table it replaces. The old version's files go last.
+    is; ``df`` may read the table it replaces. A table without partitions whose columns stay the same is moved to
+    the new folder in one step; otherwise it is dropped and created. The version that was replaced keeps its files
+    until the next overwrite, so that its readers can finish.
     """
     spark = df.sparkSession
     base = path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}"
@@ -41,6 +42,11 @@ def overwrite_table(
     old = _location(spark, name)
     columns = [f for f in df.schema.fields if f.name not in partition_by]
     columns += [df.schema[c] for c in partition_by]
+    if old is not None and not partition_by and spark.table(name).schema == _nullable(df.schema):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(name)
+        _remove_versions(spark, base, {folder, old})
+        return
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     if partition_by:
         keys = ", ".join(f"`{c}`" for c in partition_by)
@@ -49,16 +55,32 @@ def overwrite_table(
         spark.catalog.recoverPartitions(name)
     else:
         spark.catalog.createTable(name, source="parquet", schema=StructType(columns), path=folder)
-    if old is not None and old != folder:
-        remove_folder(spark, old)
+    _remove_versions(spark, base, {folder, *([old] if old else [])})
+
+
+def _nullable(schema: StructType) -> StructType:
+    """The schema as a saved table gives it back: every column may be NULL."""
+    return StructType.fromJson(json.loads(schema.json().replace('"nullable":false', '"nullable":true')))
+
+
+def _remove_versions(spark: SparkSession, base: str, kept: set[str]) -> None:
+    """Remove the versions in a table's folder but those that are kept."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(target):
+        return
+    names = {k.rstrip("/").rsplit("/", 1)[-1] for k in kept}
+    for found in files.listStatus(target):
+        if found.getPath().getName().startswith(VERSION) and found.getPath().getName() not in names:
+            files.delete(found.getPath(), True)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
-    """Drop a saved table with the files of its version."""
+    """Drop a saved table with the files of all its versions."""
     old = _location(spark, name)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     if old is not None:
-        remove_folder(spark, old)
+        _remove_versions(spark, old.rstrip("/").rsplit("/", 1)[0], set())
 
 
 def snapshot(

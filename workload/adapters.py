@@ -6,13 +6,11 @@ optimizer picks the join by their size.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowtide.functions.fixed_values import FLOW_COLUMNS, SHARE_CLASS_SUFFIXES
-from flowtide.sources.settle import settle, shared_folder
+from flowtide.sources.settle import new_folder, settle
 from workload.sample_values import (
     BRAND_CODES,
     CATEGORY_OF_TYPE,
@@ -272,7 +270,7 @@ SERIES_FILES = {
 
 def series_folder(spark: SparkSession, sf_dir: str) -> str:
     """Write the series as delimited text into a new folder of the shared one."""
-    folder = f"{shared_folder(spark)}/series-{uuid.uuid4().hex}"
+    folder = new_folder(spark, "series")
     for name, df in daily_series(spark, sf_dir).items():
         df.write.option("header", True).csv(f"{folder}/{SERIES_FILES[name]}")
     return folder

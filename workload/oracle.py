@@ -427,6 +427,33 @@ PEER_SALES_ROWS = """
 SELECT category, month_number, count(*) AS n_rows, max(percent_rank) AS highest, min(percent_rank) AS lowest
 FROM ranked GROUP BY category, month_number"""
 
+# Indicators of earlier months
+
+
+def index_of(column: str) -> str:
+    return f"({column} // 100 * 12 + {column} % 100)"
+
+
+LAGGED = f"""
+macro AS ({MACRO_LAST}),
+ends AS (SELECT min({INDEX}) AS low, max({INDEX}) + 6 AS high FROM macro),
+months AS (SELECT unnest(range(low, high + 1)) AS idx FROM ends)"""
+LAGGED_ROWS = f"""
+SELECT CAST((idx - 1) // 12 * 100 + (idx - 1) % 12 + 1 AS INTEGER) AS month_number,
+       {', '.join(f'm{n}.{c} AS {c}_lag_{n}' for c in ('GDP', 'Oil_Price', 'Sentiment') for n in (1, 3, 6))}
+FROM months {' '.join(f"LEFT JOIN macro m{n} ON idx - {n} = {index_of(f'm{n}.month_number')}" for n in (1, 3, 6))}"""
+
+TRIED = [(c, n) for c in ("GoldPrice", "House_Price_Index", "TED_Spread", "GDP") for n in (0, 1, 3, 6)]
+CORRELATED = f"""
+labels AS ({moving("abs_tot_rdmpt_amt", "totals", LABEL)}),
+macro AS ({MACRO_LAST}),
+high AS (SELECT {INDEX} AS idx, CASE WHEN period_anomaly_type <> '{V.ANOMALY_NONE}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS y FROM labels)"""
+CORRELATED_ROWS = " UNION ALL ".join(
+    f"SELECT '{c}' AS indicator, CAST({n} AS INTEGER) AS lag, count({c}) AS n_months, "
+    f"round(corr({c}, y), 8) AS correlation FROM high LEFT JOIN macro ON idx - {n} = {INDEX}"
+    for c, n in TRIED
+)
+
 # Advisor tables
 
 ADVISOR = f"""
@@ -625,6 +652,13 @@ ORACLE = {
         'SELECT code AS "ParentFundAcronymCode", line_2 AS "BusinessLine2", count(*) AS n_rows, '
         "CAST(sum(assets) AS DOUBLE) AS assets FROM joined WHERE assets <> 0 GROUP BY ALL",
     ),
+    "lagged_indicators": with_([DAILY, LAGGED], LAGGED_ROWS),
+    "macro_correlation": with_([FLOWS, GFA_REDEEMED, DAILY, CORRELATED], CORRELATED_ROWS),
+    "incremental_flows": with_(
+        [FLOWS],
+        f"SELECT parent_fund_acronym_group, month_number, {', '.join(f'CAST(sum({e}) AS DOUBLE) AS {n}' for n, e in SERIES_SUMS.items())}, "
+        "CAST(month_number // 100 AS BIGINT) AS year FROM flows GROUP BY parent_fund_acronym_group, month_number",
+    ),
     "snapshot_fund_lookup": with_([FUNDS], "SELECT * FROM funds"),
     "view_redemptions": with_([FLOWS], MONTHLY),
 }

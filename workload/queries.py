@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowtide.functions import columns as C
 from flowtide.functions import fixed_values as V
-from flowtide.operators import aggregates, combine, lookups, pivots, segments, windows
+from flowtide.operators import aggregates, combine, lags, lookups, pivots, segments, windows
 from flowtide.plans import advisor, analysis, base, flows, macro
-from flowtide.sources import readers, tables
-from flowtide.sources.settle import settle, shared_folder
+from flowtide.sources import increments, readers, tables
+from flowtide.sources.settle import new_folder, settle
 from workload import adapters as A
 
 MONTH, FUND = analysis.MONTH, analysis.FUND
@@ -241,6 +239,24 @@ def trailing_avg_literal(spark, sf):
     return _trailing(spark, sf, mode="literal")
 
 
+# Indicators of earlier months
+
+
+def lagged_indicators(spark, sf):
+    """Indicators of every month of the calendar with their values one, three and six months earlier."""
+    indicators = settle(macro_last_of_month(spark, sf))
+    months = lags.calendar(indicators, MONTH, extra=6)
+    return lags.lagged(indicators, MONTH, ["GDP", "Oil_Price", "Sentiment"], spine=months)
+
+
+def macro_correlation(spark, sf):
+    """Indicators, also lagged, against the months in which a fund's redemptions are above an average."""
+    indicators = settle(macro_last_of_month(spark, sf))
+    months = analysis.fund_anomalies(A.fund_flows(spark, sf), FOCUS_FUND)
+    found = analysis.macro_correlations(months, indicators, ["GoldPrice", "House_Price_Index", "TED_Spread", "GDP"])
+    return found.withColumn("correlation", F.round("correlation", 8))
+
+
 # One history of any length: scans in segments
 
 
@@ -360,11 +376,21 @@ def snapshot_fund_lookup(spark, sf):
     """Fund lookup saved as a table and read back, first built, then reused."""
     tables.ensure_database(spark, "default")
     name = "default.sample_fund_lookup"
-    path = f"{shared_folder(spark)}/fund-lookup-{uuid.uuid4().hex}"
+    path = new_folder(spark, "fund-lookup")
     tables.snapshot(spark, name, lambda: fund_lookup(spark, sf), refresh=True, path=path)
     return tables.snapshot(spark, name, lambda: fund_lookup(spark, sf), refresh=False)
 
 
+def incremental_flows(spark, sf):
+    """Monthly flows saved by year, then refreshed with the last year's rows corrected; read back by the pointer."""
+    path = new_folder(spark, "flows-by-year")
+    totals = settle(aggregates.flow_totals(A.fund_flows(spark, sf), [FUND, MONTH]).withColumn("year", F.floor(F.col(MONTH) / 100)))
+    last = totals.agg(F.max("year")).first()[0]
+    draft = totals.withColumn("sale_amount", F.when(F.col("year") < last, F.col("sale_amount")))
+    increments.incremental_snapshot(spark, path, lambda: draft, True, "year")
+    return increments.incremental_snapshot(spark, path, lambda: totals, True, "year")
+
+
 def view_redemptions(spark, sf):
     """Monthly redemptions by SQL over a registered view of the flows."""
     tables.register_view(A.fund_flows(spark, sf), "fund_flow_rows")
@@ -390,7 +416,8 @@ REGISTERED = [
     forward_fill, back_fill, running_first, fill_gaps, trailing_avg, trailing_avg_literal,
     ledger_fills, ledger_trailing, trailing_avg_segments, redemption_share, peer_rank_returns, peer_rank_sales,
     advisor_assets, advisor_sales, line_sums, fund_line_pivot, advisor_dimensions,
-    snapshot_fund_lookup, view_redemptions,
+    lagged_indicators, macro_correlation,
+    snapshot_fund_lookup, incremental_flows, view_redemptions,
 ]
 
 
