@@ -7,8 +7,8 @@ writes blanks as the marker and puts one in front.
 
 Where no piece has the marker behind another character, no piece crosses from one marked word to the next, and
 words can be encoded on their own: each distinct one is encoded once per worker, in
-batches over several threads, and kept in a table of bounded size. Each encoding is compared
-with the reference library's. Documents are read once, without a shuffle.
+batches over several threads, and kept in a table of two halves of bounded size: a full half becomes the older
+one, and only words that neither holds are encoded again. Each encoding is compared with the reference library's. Documents are read once, without a shuffle.
 
 Defined results: NULL and empty texts have no tokens; repeated rows are encoded alike; a text that
 holds the marker itself can't be told from one with blanks, so its ``round_trip`` is false.
@@ -16,10 +16,12 @@ holds the marker itself can't be told from one with blanks, so its ``round_trip`
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -172,6 +174,7 @@ class Codec:
         if self.apart:
             self.tokenizer.normalizer = normalizers.Sequence([])
         self.table: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.table_rows, self.differ = table_rows, set()
         self.bytes_of = [self._bytes(piece, kind) for piece, _, kind in self.model.pieces]
 
@@ -187,31 +190,39 @@ class Codec:
         """The normal form of a text in parts that are encoded on their own."""
         if not text:
             return []
+        if self.model.dummy_prefix and MARK not in text:
+            words = text.split(" ")
+            if "" not in words:
+                return [MARK + word for word in words]
         marked = text.replace(" ", MARK)
         return self._SEGMENT.findall(MARK + marked if self.model.dummy_prefix else marked)
 
     def _learn(self, segments: set[str]) -> None:
-        fresh = [s for s in segments if s not in self.table]
-        if not fresh:
-            return
-        if len(self.table) + len(fresh) > self.table_rows:
-            self.table, self.differ = {}, set()
-            fresh = list(segments)
+        """Encode what is in neither half of the table; what the older half has moves to the newer one."""
+        if len(self.table) + len(segments) > self.table_rows // 2:
+            self.older, self.table = self.table, {}
+            self.differ.intersection_update(self.older)
+        older, table = self.older, self.table
+        fresh = []
+        for segment in segments:
+            if segment in older:
+                table[segment] = older[segment]
+            elif segment not in table:
+                fresh.append(segment)
         for at in range(0, len(fresh), ENCODED_AT_ONCE):
             part = fresh[at : at + ENCODED_AT_ONCE]
-            for segment, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.table[segment] = struct.pack(f"<{len(found.ids)}i", *found.ids)
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            table.update(zip(part, [array("i", ids).tobytes() for ids in found]))
             if self.reference:
-                self._compare(part)
+                self._compare(part, found)
 
-    def _compare(self, segments: list[str]) -> None:
+    def _compare(self, segments: list[str], found: list[list[int]]) -> None:
         """Note the segments that the reference encodes otherwise. It puts its own marker in front, so one is
         taken off first."""
-        own = [s for s in segments if s[0] == MARK or not self.model.dummy_prefix]
-        texts = [s[1:] if self.model.dummy_prefix else s for s in own]
-        for segment, text, ids in zip(own, texts, self.reference.encode(texts, num_threads=1)):
-            if text and self.table[segment] != struct.pack(f"<{len(ids)}i", *ids):
-                self.differ.add(segment)
+        prefixed = self.model.dummy_prefix
+        own = [(s, s[1:], ids) for s, ids in zip(segments, found) if s[0] == MARK] if prefixed else [(s, s, ids) for s, ids in zip(segments, found)]
+        theirs = self.reference.encode([text for _, text, _ in own], num_threads=1)
+        self.differ.update([s for (s, text, ids), other in zip(own, theirs) if ids != other and text])
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bool]]:
         """Token ids as 32-bit integers, and whether the reference library agrees."""
@@ -222,16 +233,18 @@ class Codec:
             same = [True] * len(ids) if theirs is None else [a == b for a, b in zip(ids, theirs)]
             return [(struct.pack(f"<{len(i)}i", *i), s) for i, s in zip(ids, same)]
         parts = [self.segments(text) for text in texts]
-        self._learn(set().union(*parts))
-        table, differ = self.table, self.differ
-        return [
-            (b"".join([table[s] for s in part]), not differ or differ.isdisjoint(part)) for part in parts
-        ]
+        fresh = set().union(*parts).difference(self.table)
+        if fresh:
+            held = self.table
+            self._learn(fresh)
+            if self.table is not held:  # a new half begins: it takes all of this group
+                self._learn(set().union(*parts))
+        known, differ = self.table.__getitem__, self.differ
+        return [(b"".join(map(known, part)), not differ or differ.isdisjoint(part)) for part in parts]
 
     def decode(self, ids: bytes) -> bytes:
         """The text in UTF-8."""
-        names = self.bytes_of
-        line = b"".join([names[i] for i in np.frombuffer(ids, "<i4").tolist()])
+        line = b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<i4").tolist()))
         return line[1:] if self.model.dummy_prefix and line[:1] == b" " else line
 
 
@@ -252,8 +265,16 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL_PATH, *, with_ids:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = None
-        for batch in batches:
-            codec = codec or Codec(shared.value)
+        gc.disable()  # millions of short lists, none of them in a circle
+        try:
+            for batch in batches:
+                codec = codec or Codec(shared.value)
+                yield from encoded(codec, batch)
+        finally:
+            gc.enable()
+
+    def encoded(codec: Codec, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        if batch.num_rows:
             ids = batch.column("doc_id")
             for at, group in _groups(batch.column("text")):
                 rows = codec.encode(group)

@@ -146,3 +146,13 @@ def test_columns_of_clashing_names_do_no_harm(spark, sf_dir):
     ):
         assert plain.columns == extra.columns
         assert plain.exceptAll(extra).count() == 0 and plain.count() == extra.count()
+
+
+def test_table_halves_give_what_one_table_gives():
+    with open(pieces.MODEL_PATH, "rb") as file:
+        model = file.read()
+    texts = [" ".join(f"w{(i * j) % 97}{'é' * (j % 3)}" for j in range(60)) for i in range(40)] + [" two  blanks ", "▁ mark"]
+    whole = pieces.Codec(model).encode(texts)
+    small = pieces.Codec(model, table_rows=40)
+    assert [small.encode([t])[0] for t in texts] == whole and len(small.table) <= 62
+    assert all(same for _, same in whole[:-1])
