@@ -23,6 +23,7 @@ import re
 import struct
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -178,6 +179,10 @@ class Codec:
         self.table_rows, self.differ = table_rows, set()
         self.bytes_of = [self._bytes(piece, kind) for piece, _, kind in self.model.pieces]
 
+    def forget(self) -> None:
+        """Empty the table of words."""
+        self.table, self.older, self.differ = {}, {}, set()
+
     @staticmethod
     def _bytes(piece: str, kind: int) -> bytes:
         if kind == BYTE:
@@ -251,6 +256,12 @@ class Codec:
 GROUP_BYTES = 1 << 18
 
 
+@lru_cache(maxsize=1)
+def _codec(data: bytes) -> Codec:
+    """One codec for all tasks of a worker; building it takes most of a second."""
+    return Codec(data)
+
+
 def _groups(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
     """Consecutive texts of ``GROUP_BYTES`` in all, or one longer text, with the place of the first."""
     _, offsets = textops.raw(column)
@@ -264,13 +275,13 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL_PATH, *, with_ids:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = None
+        codec = _codec(shared.value)
         gc.disable()  # millions of short lists, none of them in a circle
         try:
             for batch in batches:
-                codec = codec or Codec(shared.value)
                 yield from encoded(codec, batch)
         finally:
+            codec.forget()
             gc.enable()
 
     def encoded(codec: Codec, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
