@@ -123,6 +123,13 @@ def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def plan_class_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flows of every line with its plan, year and category."""
+    sold = _sold_parts(spark, sf_dir).join(plans_of_orders(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"))
+    year = F.year("l_shipdate") + YEAR_SHIFT
+    return sold.select("plan", year.alias("year"), "category", *_flow_amounts()).withColumnsRenamed(FLOW_COLUMNS)
+
+
 def category_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price of every line with its category and month."""
     return _sold_parts(spark, sf_dir).select(
@@ -190,6 +197,17 @@ def organizations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def supplier_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last five digits of every supplier's name as a fragment of it."""
+    return table(spark, sf_dir, "supplier").select(
+        F.substring("s_name", -5, 5).alias("fragment"), F.col("s_name").alias("firm")
+    )
+
+
+def customer_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select(F.col("c_name").alias("organization_name"))
+
+
 def ticker_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticker listing, several rows and two vehicles per ticker."""
     return funds_of_parts(spark, sf_dir).select(

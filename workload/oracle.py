@@ -248,6 +248,59 @@ def with_(ctes, query: str) -> str:
     return "WITH " + ",".join(ctes) + "\n" + query
 
 
+# Money in motion: shares by the largest remainder, then units left over along two lines
+
+
+def _split(value: str, total: str, name: str) -> str:
+    whole, rest = f"{value} * moved // nullif({total}, 0)", f"coalesce({value} * moved % nullif({total}, 0), 0)"
+    return (
+        f"coalesce({whole}, 0) + CASE WHEN row_number() OVER (PARTITION BY plan, year ORDER BY {rest} DESC, category) "
+        f"<= moved - sum(coalesce({whole}, 0)) OVER (PARTITION BY plan, year) THEN 1 ELSE 0 END AS {name}"
+    )
+
+
+MOTION = f"""
+lines AS (
+  SELECT CASE WHEN o_custkey % 50 = 0 THEN '#' WHEN o_custkey % 50 = 1 THEN '0'
+              WHEN o_custkey % 50 = 2 THEN concat('P', o_custkey) ELSE CAST(o_custkey AS VARCHAR) END AS plan,
+         CAST(year(l_shipdate) + {YEAR_SHIFT} AS INTEGER) AS year, {coded('p_type', CATEGORY_OF_TYPE)} AS category, {AMOUNTS}
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey),
+sides AS (
+  SELECT plan, year, coalesce(category, 'unknown') AS category,
+         CAST(100 * sum(sale_amount + exchange_in_amount) AS HUGEINT) AS a,
+         CAST(-100 * sum(redemption_amount + exchange_out_amount) AS HUGEINT) AS b
+  FROM lines GROUP BY ALL),
+signed AS (
+  SELECT plan, year, category, greatest(a, 0) + greatest(-b, 0) AS came, greatest(b, 0) + greatest(-a, 0) AS went FROM sides),
+totals AS (
+  SELECT *, sum(came) OVER w AS all_came, sum(went) OVER w AS all_went,
+         least(sum(came) OVER w, sum(went) OVER w) AS moved FROM signed WINDOW w AS (PARTITION BY plan, year)),
+shares AS (SELECT *, {_split("went", "all_went", "gone")}, {_split("came", "all_came", "entered")} FROM totals),
+cells AS (
+  SELECT x.plan, x.year, x.category AS from_class, y.category AS to_class, x.gone, y.entered,
+         x.gone * y.entered // x.moved AS part
+  FROM shares x JOIN shares y ON x.plan = y.plan AND x.year = y.year WHERE x.gone > 0 AND y.entered > 0),
+short AS (
+  SELECT *, gone - sum(part) OVER (PARTITION BY plan, year, from_class) AS r,
+         entered - sum(part) OVER (PARTITION BY plan, year, to_class) AS c FROM cells),
+lines_of AS (
+  SELECT *, sum(r) OVER (PARTITION BY plan, year, to_class ORDER BY from_class) AS r_to,
+         sum(c) OVER (PARTITION BY plan, year, from_class ORDER BY to_class) AS c_to FROM short),
+moves AS (
+  SELECT plan, year, from_class, to_class, part + greatest(0, least(r_to, c_to) - greatest(r_to - r, c_to - c)) AS units FROM lines_of
+  UNION ALL SELECT plan, year, category, NULL, went - gone FROM shares
+  UNION ALL SELECT plan, year, NULL, category, came - entered FROM shares)"""
+
+MOTION_ROWS = (
+    "SELECT plan, year, from_class, to_class, CAST(CAST(units AS DECIMAL(28,0)) / 100 AS DOUBLE) AS amount FROM moves WHERE units > 0"
+)
+
+NUMBERS_IN_NAMES = (
+    "SELECT DISTINCT c_name AS organization_name, s_name AS organization_name_standard "
+    "FROM customer JOIN supplier ON contains(lower(c_name), lower(right(s_name, 5)))"
+)
+
+
 # Windows
 
 
@@ -567,6 +620,9 @@ ORACLE = {
         "CAST(sum(asset_value + team_value) AS DOUBLE) AS sum_of_rows FROM facts GROUP BY MO_NUM",
     ),
     "firm_lookup": with_([PATTERNS, firms(True)], "SELECT * FROM firms"),
+    "firm_lookup_indexed": with_([PATTERNS, firms(True)], "SELECT * FROM firms"),
+    "names_with_numbers": NUMBERS_IN_NAMES,
+    "money_in_motion": with_([MOTION], MOTION_ROWS),
     "firm_lookup_raw": with_([PATTERNS, firms(False)], "SELECT * FROM firms"),
     "fund_lookup": with_([FUNDS], "SELECT * FROM funds"),
     "flows_source_a": with_([*FLOW_CTES[:4], SOURCE_A], as_doubles("source_a")),

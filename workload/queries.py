@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from flowtide.functions import columns as C
 from flowtide.functions import fixed_values as V
-from flowtide.operators import aggregates, combine, lags, lookups, pivots, segments, windows
+from flowtide.operators import aggregates, combine, lags, lookups, motion, pattern_index, pivots, segments, windows
 from flowtide.plans import advisor, analysis, base, flows, macro
 from flowtide.sources import increments, readers, tables
 from flowtide.sources.settle import new_folder, settle
@@ -74,6 +74,16 @@ def firm_lookup_raw(spark, sf):
     return lookups.firm_lookup(A.organizations(spark, sf), dedupe=False)
 
 
+def firm_lookup_indexed(spark, sf):
+    """The firm lookup by an index of grams."""
+    return pattern_index.names_with_fragments(A.organizations(spark, sf), pattern_index.pattern_table(spark))
+
+
+def names_with_numbers(spark, sf):
+    """Customers whose names hold the number of a supplier; as many fragments as there are suppliers."""
+    return pattern_index.names_with_fragments(A.customer_names(spark, sf), A.supplier_numbers(spark, sf))
+
+
 def fund_lookup(spark, sf):
     listing = C.standardize_columns(A.ticker_listing(spark, sf), V.LISTING_COLUMNS)
     return lookups.fund_lookup(listing)
@@ -291,6 +301,12 @@ def redemption_share(spark, sf):
     return shares.withColumn("assets_month", F.col("assets_month").cast("double"))
 
 
+def money_in_motion(spark, sf):
+    """What moved from one category to another within each plan and year."""
+    inflow, outflow = F.col("sale_amount") + F.col("exchange_in_amount"), F.col("redemption_amount") + F.col("exchange_out_amount")
+    return motion.money_in_motion(A.plan_class_flows(spark, sf), ["plan", "year"], "category", inflow, -outflow)
+
+
 def peer_rank_returns(spark, sf):
     """Monthly returns of tickers ranked among those of their month and category."""
     return segments.peer_rank(A.fund_returns(spark, sf), "return_1_month", [MONTH, "morningstar_category_grouped"])
@@ -415,6 +431,7 @@ REGISTERED = [
     base_table, base_filled, base_filled_daily, base_features, base_features_literal,
     forward_fill, back_fill, running_first, fill_gaps, trailing_avg, trailing_avg_literal,
     ledger_fills, ledger_trailing, trailing_avg_segments, redemption_share, peer_rank_returns, peer_rank_sales,
+    money_in_motion, firm_lookup_indexed, names_with_numbers,
     advisor_assets, advisor_sales, line_sums, fund_line_pivot, advisor_dimensions,
     lagged_indicators, macro_correlation,
     snapshot_fund_lookup, incremental_flows, view_redemptions,
