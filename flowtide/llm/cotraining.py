@@ -1,15 +1,19 @@
 """Quality classifier by co-training of a text view and a metadata view.
 
-The text view reads hashed word and character n-grams, the metadata view language, source, both together and the
-magnitude of the stated length. Starting from a bounded labelled sample, each view labels the rows of a
-bounded unlabelled pool that it is surest of, for the other one to learn from, over ``ROUNDS`` rounds.
-Each view is then calibrated on labelled rows kept back, and the two log-odds are added, with
+The text view reads hashed word and character n-grams and the text's shape (length, repeats, symbols, in steps), the metadata view
+language, source, both together and the magnitude of the stated length. Both start from a bounded sample of labelled rows.
+In each of ``ROUNDS`` rounds both score every unlabelled row of the training folds in Arrow batches, and each view labels for the other
+one the ``PER_ROUND`` rows of either class that it is surest of, found by a distributed top-k. A row has to be surer than the
+base rate, no more, so that a weak view teaches as well; what it teaches is its calibrated probability, not a bare class, so
+that a weak view's labels weigh little and those of a view that knows nothing don't arise.
+Each view is calibrated on labelled rows kept back, and in the end the two log-odds are added, with
 the base rate counted once, as for views independent given the class. All documents are scored in
 Arrow batches; both models are of fixed size.
 
 Defined results: NULL texts count as empty, NULL metadata is a value of its own; repeated rows score
-alike; NULL ids are scored. Without labels of both kinds the score is the
-class that there is (0.5 without any).
+alike; NULL ids are scored, but teach nothing; of unlabelled rows that repeat an id the higher scores count; texts are read whole, in pieces,
+whatever their length; an empty table gives no rows; other columns are not read, whatever their names. Ties go to the smaller hash of the id.
+Without labels of both kinds the score is the class that there is (0.5 without any).
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from __future__ import annotations
 import io
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,15 +30,17 @@ from pyspark.sql import functions as F
 
 from flowtide.llm import quality_rules, sampling, textops
 from flowtide.llm.linear import Sparse, fit_logistic, fit_scale, sigmoid
+from flowtide.sources.settle import settle
 
 LABELLED_ROWS = 2400
-POOL_ROWS = 1200
 ROUNDS = 3
 PER_ROUND = 100
-SURE = 0.95
 KEEP_AT = 0.5
 META_BITS = 12
-TEXT_SIZE = 2 << quality_rules.BITS
+SHAPE_STEPS = 64
+FAMILY = 8.0  # sum of the values of a family of n-grams in any text
+SHAPES = 5
+TEXT_SIZE = (2 << quality_rules.BITS) + SHAPES * SHAPE_STEPS
 META = ("lang", "source", "n_chars")
 
 FEATURES = quality_rules.FEATURES + ", meta array<int>"
@@ -59,66 +66,63 @@ def meta_slots(batch: pa.RecordBatch) -> list[list[int]]:
     return found
 
 
+def shape_slots(data: np.ndarray, offsets: np.ndarray, words: textops.Words, hashes: np.ndarray) -> np.ndarray:
+    """Steps of each text's length, repeated words, repeated lines, symbols and different words."""
+    counts = quality_rules.base_counts(data, offsets, words, hashes)
+    total = np.maximum(counts["n_words"], 1)
+    each = textops.mixed(hashes ^ textops.mixed(words.doc.astype(np.uint64) + np.uint64(1)))
+    different = words.doc[np.unique(each, return_index=True)[1]]
+    steps = [
+        2 * np.log2(counts["n_words"] + 1),
+        np.ceil(5 * counts["n_repeat_words"] / total),
+        np.ceil(np.log2(counts["n_dup_lines"] + 1)),
+        np.ceil(np.log2(1 + 100 * counts["n_symbols"] / np.maximum(counts["word_chars"], 1))),
+        10 * np.bincount(different, minlength=words.count) / total,
+    ]
+    first = (2 << quality_rules.BITS) + np.arange(SHAPES) * SHAPE_STEPS
+    return np.minimum(np.stack(steps, 1).astype(np.int64), SHAPE_STEPS - 1) + first
+
+
+def text_parts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Slots of the text view, piece by piece: first and last text, and each slot with its text and value."""
+    data, offsets = textops.raw(column)
+    for a, b in textops.pieces(offsets):
+        part, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+        words = textops.Words(part, own, textops.SPACED)
+        hashes = words.hashes()
+        shapes = shape_slots(part, own, words, hashes)
+        for slot, where in quality_rules._grams(part, own, words, hashes):
+            yield a, b, slot, where, np.maximum(np.bincount(where, minlength=b - a), 1) / FAMILY
+        yield a, b, shapes.ravel(), np.repeat(np.arange(b - a), SHAPES), np.ones(b - a)
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def metas(source: Iterator[pa.RecordBatch], kept: list) -> Iterator[pa.RecordBatch]:
-        for batch in source:
-            kept.extend(meta_slots(batch))
-            yield batch
-
-    waiting: list[list[int]] = []
-    for rows in quality_rules._features(metas(batches, waiting)):
-        meta, waiting[:] = waiting[: rows.num_rows], waiting[rows.num_rows :]
-        yield pa.RecordBatch.from_arrays(
-            [*rows.columns, pa.array(meta, pa.list_(pa.int32()))], [*rows.schema.names, "meta"]
-        )
-
-
-class View:
-    """One view's rows, its model and its calibration."""
-
-    def __init__(self, x: Sparse, size: int):
-        self.x, self.size = x, size
-        self.weights, self.bias, self.scale = np.zeros(size), 0.0, (1.0, 0.0)
-
-    def learn(self, rows: np.ndarray, y: np.ndarray, checked: np.ndarray, truth: np.ndarray) -> None:
-        self.weights, self.bias = fit_logistic(self.x.pick(rows), y[rows], self.size, rounds=40)
-        self.scale = fit_scale(self.scores()[checked], truth[checked])
-
-    def scores(self) -> np.ndarray:
-        return self.x.times(self.weights) + self.bias
-
-    def probability(self) -> np.ndarray:
-        return sigmoid(self.scale[0] * self.scores() + self.scale[1])
-
-
-def surest(p: np.ndarray, free: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows to label 1 and 0: the surest free ones beyond the bound, ``count`` of each at most."""
-    good = np.flatnonzero(free & (p >= SURE))
-    bad = np.flatnonzero(free & (p <= 1 - SURE))
-    return good[np.argsort(-p[good], kind="stable")][:count], bad[np.argsort(p[bad], kind="stable")][:count]
-
-
-def co_train(text: Sparse, meta: Sparse, labels: np.ndarray) -> tuple[View, View, float]:
-    """Both views after the rounds, and the log-odds of the base rate. Label -1 is unlabelled."""
-    views = View(text, TEXT_SIZE), View(meta, 1 << META_BITS)
-    known = np.flatnonzero(labels >= 0)
-    checked = np.zeros(len(labels), bool)
-    checked[known[quality_rules.calibration_part(len(known))]] = True
-    own = [(labels >= 0) & ~checked for _ in views]
-    given = [labels.copy() for _ in views]
-    for at in range(ROUNDS + 1):
-        for view, rows, y in zip(views, own, given):
-            view.learn(rows, y, checked, labels)
-        if at == ROUNDS:
-            break
-        for teacher, learner in ((0, 1), (1, 0)):
-            free = (labels < 0) & ~own[learner]
-            for label, rows in zip((1.0, 0.0), surest(views[teacher].probability(), free, PER_ROUND)):
-                own[learner][rows] = True
-                given[learner][rows] = label
-    share = float(labels[checked].mean()) if checked.any() else 0.5
-    share = min(max(share, 1e-3), 1 - 1e-3)
-    return *views, float(np.log(share / (1 - share)))
+    """Slots and values of both views for each sampled text."""
+    for batch in batches:
+        slots: list[list] = [[] for _ in range(batch.num_rows)]
+        values: list[list] = [[] for _ in range(batch.num_rows)]
+        for a, b, slot, where, norm in text_parts(batch.column("text")):
+            key, count = np.unique(where * TEXT_SIZE + slot, return_counts=True)
+            row = key // TEXT_SIZE
+            ends = np.searchsorted(row, np.arange(1, b - a))
+            for at, (x, y) in enumerate(zip(np.split(key % TEXT_SIZE, ends), np.split(count / norm[row], ends)), a):
+                slots[at].append(x)
+                values[at].append(y)
+        columns = [batch.column(c) for c in ("_order", "_id", "_label")]
+        columns.append(pa.array([np.concatenate(x).astype(np.int32) for x in slots], pa.list_(pa.int32())))
+        columns.append(pa.array([np.concatenate(y).astype(np.float32) for y in values], pa.list_(pa.float32())))
+        columns.append(pa.array(meta_slots(batch), pa.list_(pa.int32())))
+        yield pa.RecordBatch.from_arrays(columns, [part.split()[0] for part in FEATURES.split(", ")])
+
+
+def learn(x: Sparse, labels: np.ndarray, taught: np.ndarray, checked: np.ndarray, size: int) -> tuple[np.ndarray, list[float]]:
+    """A view's weights, and slope, shift and bias, from labelled rows that are not kept back and rows that the other view taught."""
+    own = (labels >= 0) & ~checked
+    goal = np.where(labels >= 0, labels, taught)
+    rows = own | ~np.isnan(taught)
+    weights, bias = fit_logistic(x.pick(rows), goal[rows], size, rounds=40)
+    slope, shift = fit_scale((x.times(weights) + bias)[checked], labels[checked])
+    return weights, [slope, shift, bias]
 
 
 def _fit(table: pa.Table | None) -> bytes:
@@ -126,13 +130,19 @@ def _fit(table: pa.Table | None) -> bytes:
     if table is not None and table.num_rows:
         table = table.sort_by([("_order", "ascending"), ("_id", "ascending")])
         text, labels = quality_rules.sparse_rows(table)
-        seen = labels[labels >= 0]
+        known = np.flatnonzero(labels >= 0)
+        seen = labels[known]
         if len(seen) and 0 < seen.sum() < len(seen):
             slots = table["meta"].combine_chunks().flatten().to_numpy()
             meta = Sparse(slots, np.ones(len(slots)), np.repeat(np.arange(text.rows), 4), text.rows)
-            one, two, prior = co_train(text, meta, labels)
-            numbers = [*one.scale, one.bias, *two.scale, two.bias, prior]
-            parts = {"text": one.weights, "meta": two.weights, "scale": np.array(numbers)}
+            checked = np.zeros(len(labels), bool)
+            checked[known[quality_rules.calibration_part(len(known))]] = True
+            to_text, to_meta = (table[c].to_numpy().astype(np.float64) for c in ("to_text", "to_meta"))
+            parts["text"], one = learn(text, labels, to_text, checked, TEXT_SIZE)
+            parts["meta"], two = learn(meta, labels, to_meta, checked, 1 << META_BITS)
+            share = float(labels[checked].mean()) if checked.any() else 0.5
+            share = min(max(share, 1e-3), 1 - 1e-3)
+            parts["scale"] = np.array([*one, *two, np.log(share / (1 - share))])
         elif len(seen):
             parts["scale"][[1, 4, 6]] = 40.0 if seen.sum() else -40.0
     out = io.BytesIO()
@@ -140,12 +150,55 @@ def _fit(table: pa.Table | None) -> bytes:
     return out.getvalue()
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, pool: int = POOL_ROWS) -> bytes:
-    """Both fitted views, about a megabyte."""
+def surest(docs: DataFrame, labels: DataFrame, model: bytes, taken: DataFrame, count: int = PER_ROUND) -> DataFrame:
+    """The unlabelled rows of the training folds that either view is surest of: id, order, and what it teaches the other view.
+
+    Every row is scored where it is; of the texts only ids and scores move. ``taken`` holds the ids that were
+    taught before, a few hundred a round.
+    """
+    base = float(sigmoid(Scorer(model).scale[6]))
+    scored = score_documents(docs.where(F.col("doc_id").isNotNull() & ~sampling.held_out()), model)
+    labelled = labels.select(F.col("doc_id").cast("bigint").alias("_id")).distinct()
+    scored = scored.select(F.col("doc_id").alias("_id"), F.col("text_score").alias("text"), F.col("meta_score").alias("meta"))
+    scored = scored.join(F.broadcast(taken.select("_id")), "_id", "left_anti").join(labelled, "_id", "left_anti")
+    scored = scored.groupBy("_id").agg(F.max("text").alias("text"), F.max("meta").alias("meta"))
+    scored = settle(scored.withColumn("_order", F.xxhash64("_id")))
+    none = F.lit(None).cast("double")
+
+    def best(view: str, good: bool) -> DataFrame:
+        score = F.col(view)
+        sure, first = (score > base, score.desc()) if good else (score < base, score.asc())
+        found = scored.where(sure).orderBy(first, "_order", "_id").limit(count)
+        to_text, to_meta = (none, score) if view == "text" else (score, none)
+        return found.select("_id", "_order", to_text.alias("to_text"), to_meta.alias("to_meta"))
+
+    found = reduce(DataFrame.union, [best(view, good) for view in ("text", "meta") for good in (True, False)])
+    return found.groupBy("_id", "_order").agg(F.max("to_text").alias("to_text"), F.max("to_meta").alias("to_meta"))
+
+
+def train(
+    docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, rounds: int = ROUNDS, per_round: int = PER_ROUND
+) -> bytes:
+    """Both fitted views, about a megabyte.
+
+    What is fitted in one task is bounded by the parameters: ``rows`` labelled rows and four times ``per_round`` taught ones a round.
+    """
+    columns = ("text", "lang", "source", "n_chars")
+    narrow = docs.select("doc_id", "text", "lang", "source", F.col("n_chars").cast("bigint").alias("n_chars"))
     chosen = sampling.known_labels(labels, "quality", rows).select("_id", "_label", "_order")
-    chosen = chosen.unionByName(sampling.pool_ids(docs, labels, pool))
-    sample = sampling.sampled_rows(docs, chosen, ("text", *META))
-    return sampling.fit_once(sample.mapInArrow(_features, FEATURES), _fit)
+    known = sampling.sampled_rows(narrow, chosen, columns).mapInArrow(_features, FEATURES)
+    none = F.lit(None).cast("double")
+    sample = settle(known.withColumns({"to_text": none, "to_meta": none}))
+    model = sampling.fit_once(sample, _fit)
+    for _ in range(rounds):
+        picked = settle(surest(docs, labels, model, sample, per_round))
+        if picked.isEmpty():
+            break
+        taught = sampling.sampled_rows(narrow, picked.withColumn("_label", F.lit(-1)), columns).mapInArrow(_features, FEATURES)
+        taught = taught.join(F.broadcast(picked.select("_id", "to_text", "to_meta")), "_id")
+        sample = sample.unionByName(settle(taught))
+        model = sampling.fit_once(sample, _fit)
+    return model
 
 
 class Scorer:
@@ -155,14 +208,9 @@ class Scorer:
 
     def scores(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         slope, shift, bias, meta_slope, meta_shift, meta_bias, prior = self.scale
-        data, offsets = textops.raw(batch.column("text"))
         text = np.full(batch.num_rows, bias)
-        for a, b in textops.pieces(offsets):
-            part, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-            words = textops.Words(part, own, textops.SPACED)
-            for found, where in quality_rules._grams(part, own, words, words.hashes()):
-                norm = np.sqrt(np.maximum(np.bincount(where, minlength=b - a), 1))
-                text[a:b] += np.bincount(where, self.text[found], minlength=b - a) / norm
+        for a, b, slot, where, norm in text_parts(batch.column("text")):
+            text[a:b] += np.bincount(where, self.text[slot], minlength=b - a) / norm
         meta = self.meta[np.array(meta_slots(batch), np.int64).reshape(-1, 4)].sum(1) + meta_bias
         one, two = slope * text + shift, meta_slope * meta + meta_shift
         return sigmoid(one), sigmoid(two), sigmoid(one + two - prior)

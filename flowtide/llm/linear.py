@@ -37,17 +37,18 @@ def fit_logistic(
 ) -> tuple[np.ndarray, float]:
     """Weights and bias by full-batch gradients with per-coordinate rates.
 
-    Classes weigh the same in sum. With one class only, or no rows, the weights are zero and
-    the bias says that class (or nothing).
+    A label between 0 and 1 is a chance: the row counts for both classes in these parts. Classes weigh the
+    same in sum. With one class only, or no rows, the weights are zero and the bias says that class (or nothing).
     """
     weights, bias = np.zeros(size), 0.0
     positive = float(y.sum())
     if not 0 < positive < len(y):
         return weights, 4.0 * (1 if positive else -1) if len(y) else 0.0
-    share = np.where(y > 0, 0.5 / positive, 0.5 / (len(y) - positive))
+    good, bad = y * (0.5 / positive), (1 - y) * (0.5 / (len(y) - positive))
     seen, seen_bias = np.full(size, 1e-8), 1e-8
     for _ in range(rounds):
-        error = (sigmoid(x.times(weights) + bias) - y) * share
+        p = sigmoid(x.times(weights) + bias)
+        error = (p - 1) * good + p * bad
         step = x.back(error, size) + ridge * weights / size
         seen += step * step
         weights -= rate * step / np.sqrt(seen)

@@ -32,20 +32,6 @@ def known_labels(labels: DataFrame, target: str, rows: int, id_column: str = "do
     )
 
 
-def pool_ids(docs: DataFrame, labels: DataFrame, rows: int, id_column: str = "doc_id") -> DataFrame:
-    """Order and id of ``rows`` documents without a label at most; their label is -1."""
-    labelled = labels.select(F.col(id_column).cast("bigint").alias("_id")).distinct()
-    return (
-        docs.where(F.col(id_column).isNotNull() & ~held_out(id_column))
-        .select(F.col(id_column).cast("bigint").alias("_id"))
-        .join(labelled, "_id", "left_anti")
-        .distinct()
-        .select("_id", F.lit(-1).alias("_label"), F.xxhash64("_id").alias("_order"))
-        .orderBy("_order", "_id")
-        .limit(rows)
-    )
-
-
 def sampled_rows(
     docs: DataFrame, chosen: DataFrame, columns: Sequence[str] = ("text",), id_column: str = "doc_id"
 ) -> DataFrame:
