@@ -40,6 +40,7 @@ META_BITS = 12
 SHAPE_STEPS = 64
 FAMILY = 8.0  # sum of the values of a family of n-grams in any text
 SHAPES = 5
+PIECE_BYTES = 1 << 18
 TEXT_SIZE = (2 << quality_rules.BITS) + SHAPES * SHAPE_STEPS
 META = ("lang", "source", "n_chars")
 
@@ -86,7 +87,7 @@ def shape_slots(data: np.ndarray, offsets: np.ndarray, words: textops.Words, has
 def text_parts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     """Slots of the text view, piece by piece: first and last text, and each slot with its text and value."""
     data, offsets = textops.raw(column)
-    for a, b in textops.pieces(offsets):
+    for a, b in textops.pieces(offsets, PIECE_BYTES):
         part, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
         words = textops.Words(part, own, textops.SPACED)
         hashes = words.hashes()
@@ -97,52 +98,61 @@ def text_parts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Slots and values of both views for each sampled text."""
+    """Slots and values of both views for each sampled text, a piece of a batch at a time."""
     for batch in batches:
-        slots: list[list] = [[] for _ in range(batch.num_rows)]
-        values: list[list] = [[] for _ in range(batch.num_rows)]
-        for a, b, slot, where, norm in text_parts(batch.column("text")):
-            key, count = np.unique(where * TEXT_SIZE + slot, return_counts=True)
-            row = key // TEXT_SIZE
-            ends = np.searchsorted(row, np.arange(1, b - a))
-            for at, (x, y) in enumerate(zip(np.split(key % TEXT_SIZE, ends), np.split(count / norm[row], ends)), a):
-                slots[at].append(x)
-                values[at].append(y)
-        columns = [batch.column(c) for c in ("_order", "_id", "_label")]
-        columns.append(pa.array([np.concatenate(x).astype(np.int32) for x in slots], pa.list_(pa.int32())))
-        columns.append(pa.array([np.concatenate(y).astype(np.float32) for y in values], pa.list_(pa.float32())))
-        columns.append(pa.array(meta_slots(batch), pa.list_(pa.int32())))
-        yield pa.RecordBatch.from_arrays(columns, [part.split()[0] for part in FEATURES.split(", ")])
-
-
-def learn(x: Sparse, labels: np.ndarray, taught: np.ndarray, checked: np.ndarray, size: int) -> tuple[np.ndarray, list[float]]:
-    """A view's weights, and slope, shift and bias, from labelled rows that are not kept back and rows that the other view taught."""
-    own = (labels >= 0) & ~checked
-    goal = np.where(labels >= 0, labels, taught)
-    rows = own | ~np.isnan(taught)
-    weights, bias = fit_logistic(x.pick(rows), goal[rows], size, rounds=40)
-    slope, shift = fit_scale((x.times(weights) + bias)[checked], labels[checked])
+        for a, b in textops.pieces(textops.raw(batch.column("text"))[1], PIECE_BYTES):
+            rows = batch.slice(a, b - a)
+            keys, values = [], []
+            for _, _, slot, where, norm in text_parts(rows.column("text")):
+                key, count = np.unique(where * TEXT_SIZE + slot, return_counts=True)
+                keys.append(key)
+                values.append((count / norm[key // TEXT_SIZE]).astype(np.float32))
+            key, value = np.concatenate(keys), np.concatenate(values)
+            order = np.argsort(key)
+            key = key[order]
+            ends = pa.array(np.searchsorted(key, np.arange(b - a + 1) * TEXT_SIZE).astype(np.int32))
+            columns = [rows.column(c) for c in ("_order", "_id", "_label")]
+            columns.append(pa.ListArray.from_arrays(ends, pa.array((key % TEXT_SIZE).astype(np.int32))))
+            columns.append(pa.ListArray.from_arrays(ends, pa.array(value[order])))
+            columns.append(pa.array(meta_slots(rows), pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays(columns, [part.split()[0] for part in FEATURES.split(", ")])
+
+
+def learn(own: Sparse, goal: np.ndarray, checked: Sparse, truth: np.ndarray, size: int) -> tuple[np.ndarray, list[float]]:
+    """A view's weights from its own rows, and slope, shift and bias; calibrated on the rows kept back."""
+    weights, bias = fit_logistic(own, goal, size, rounds=40)
+    slope, shift = fit_scale(checked.times(weights) + bias, truth)
     return weights, [slope, shift, bias]
 
 
 def _fit(table: pa.Table | None) -> bytes:
     parts = {"text": np.zeros(TEXT_SIZE), "meta": np.zeros(1 << META_BITS), "scale": np.zeros(7)}
     if table is not None and table.num_rows:
-        table = table.sort_by([("_order", "ascending"), ("_id", "ascending")])
+        narrow = table.drop_columns(["slot", "value"]).sort_by([("_order", "ascending"), ("_id", "ascending")])
         text, labels = quality_rules.sparse_rows(table)
+        del table
         known = np.flatnonzero(labels >= 0)
         seen = labels[known]
         if len(seen) and 0 < seen.sum() < len(seen):
-            slots = table["meta"].combine_chunks().flatten().to_numpy()
+            slots = narrow["meta"].combine_chunks().flatten().to_numpy()
             meta = Sparse(slots, np.ones(len(slots)), np.repeat(np.arange(text.rows), 4), text.rows)
             checked = np.zeros(len(labels), bool)
             checked[known[quality_rules.calibration_part(len(known))]] = True
-            to_text, to_meta = (table[c].to_numpy().astype(np.float64) for c in ("to_text", "to_meta"))
-            parts["text"], one = learn(text, labels, to_text, checked, TEXT_SIZE)
-            parts["meta"], two = learn(meta, labels, to_meta, checked, 1 << META_BITS)
+            views = {"text": (text, TEXT_SIZE), "meta": (meta, 1 << META_BITS)}
+            del text, meta
+            found = []
+            for view in ("text", "meta"):
+                x, size = views.pop(view)
+                taught = narrow[f"to_{view}"].to_numpy().astype(np.float64)
+                goal = np.where(labels >= 0, labels, taught)
+                rows = ((labels >= 0) & ~checked) | ~np.isnan(taught)
+                own, kept_back = x.pick(rows), x.pick(checked)
+                del x  # the rows picked are all that is used
+                parts[view], scale = learn(own, goal[rows], kept_back, labels[checked], size)
+                found += scale
             share = float(labels[checked].mean()) if checked.any() else 0.5
             share = min(max(share, 1e-3), 1 - 1e-3)
-            parts["scale"] = np.array([*one, *two, np.log(share / (1 - share))])
+            parts["scale"] = np.array([*found, np.log(share / (1 - share))])
         elif len(seen):
             parts["scale"][[1, 4, 6]] = 40.0 if seen.sum() else -40.0
     out = io.BytesIO()
