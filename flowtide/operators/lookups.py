@@ -13,7 +13,7 @@ from flowtide.functions.fixed_values import (
     FUND_PREFIXES,
     SHARE_CLASS_SUFFIXES,
 )
-from flowtide.sources.settle import checked_broadcast
+from flowtide.sources.settle import checked_broadcast, read_once
 
 
 def _firms(name: str, patterns: Mapping[str, Sequence[str]], dedupe: bool) -> Column:
@@ -82,6 +82,9 @@ def fund_lookup(
 def lookup_join(
     facts: DataFrame, lookup: DataFrame, on: str | Sequence[str] | Column, how: str = "inner"
 ) -> DataFrame:
-    """Join facts with a lookup table, broadcast if its measured size allows it."""
+    """Join facts with a lookup table, broadcast if its measured size allows it.
+
+    A lookup that is itself a query runs once, and is measured and joined where it was settled.
+    """
     keys = on if isinstance(on, (str, Column)) else list(on)
-    return facts.join(checked_broadcast(lookup), keys, how)
+    return facts.join(checked_broadcast(read_once(lookup)), keys, how)

@@ -26,12 +26,12 @@ from pyspark.sql import functions as F
 
 from flowtide.functions.columns import mean, month_index
 from flowtide.functions.fixed_values import ANOMALY_LEVELS, ANOMALY_NONE, WINDOW_SIZES
-from flowtide.sources.settle import fits_broadcast, hint_small, settle
+from flowtide.sources.settle import fits_broadcast, hint_small, read_once, settle
 
 
 def attach_by_keys(df: DataFrame, table: DataFrame, keys: Sequence[str], added: Sequence[str]) -> DataFrame:
-    """Left join of a settled table on keys that may be NULL."""
-    keyed = table.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *added)
+    """Left join of a table on keys that may be NULL. A table that is still a query runs once."""
+    keyed = read_once(table.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *added))
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
     joined = df.join(hint_small(keyed, fits_broadcast(keyed)), same, "left")
     return joined.drop(*[f"_key_{k}" for k in keys])

@@ -20,7 +20,7 @@ from flowtide.functions.fixed_values import (
     TARGET_DATE_PREFIXES,
 )
 from flowtide.operators.pivots import label_pivot
-from flowtide.sources.settle import fits_broadcast, hint_small, settle
+from flowtide.sources.settle import fits_broadcast, hint_small, read_once, settle
 
 BY = ["MO_NUM", "FINCL_ITRMY_PRSON_ID"]
 LINES = ["IR", "DCIO", "DCProp", "DCSmallRPSolution", "OtherIR"]
@@ -61,8 +61,8 @@ def advisor_rows(
     that rows are shuffled once for both; only rows without a business line look their vehicle up alone.
     """
     rows = _single_advisors(facts, total, month_start)
-    codes = vehicles.select(F.col("InvestmentVehicleID").alias("INV_VEH_ID"), "ParentFundAcronymCode")
-    lines = business_lines.select(*BUSINESS_LINE_KEYS, "BusinessLine1", "BusinessLine2", "BusinessLine3")
+    codes = read_once(vehicles.select(F.col("InvestmentVehicleID").alias("INV_VEH_ID"), "ParentFundAcronymCode"))
+    lines = read_once(business_lines.select(*BUSINESS_LINE_KEYS, "BusinessLine1", "BusinessLine2", "BusinessLine3"))
     few_codes, few_lines = fits_broadcast(codes), fits_broadcast(lines)
     if measures and few_codes and few_lines:
         rows = rows.select(*BY, *BUSINESS_LINE_KEYS, *[c.alias(n) for n, c in measures.items()])

@@ -13,7 +13,9 @@ from pyspark.sql.types import (
     ArrayType,
     AtomicType,
     BinaryType,
+    CalendarIntervalType,
     MapType,
+    NullType,
     StringType,
     StructType,
 )
@@ -54,6 +56,20 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def read_once(df: DataFrame) -> DataFrame:
+    """``df`` for a lookup that is measured and then joined, which reads it twice.
+
+    A plain read, filtered and cut to some columns, stays as it is. Anything dearer is settled, so that
+    its joins and aggregates run a single time.
+    """
+    if any(isinstance(f.dataType, (NullType, CalendarIntervalType)) for f in df.schema.fields):
+        return df  # parquet has no such columns
+    node = df._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() in ("Project", "Filter"):
+        node = node.children().apply(0)
+    return df if node.children().isEmpty() else settle(df)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system it is."""
     jvm = spark.sparkContext._jvm

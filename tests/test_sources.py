@@ -4,6 +4,7 @@ import os
 
 import pytest
 from flowtide.functions import fixed_values as V
+from flowtide.operators import lookups
 from flowtide.plans import macro
 from flowtide.sources import readers, settle, tables
 from pyspark.sql import functions as F
@@ -191,3 +192,42 @@ def test_read_jdbc_passes_the_split_on():
     )
     assert rows_of == "rows"
     assert Session.read.given["numPartitions"] == 4 and Session.read.given["column"] == "id"
+
+
+def jobs_of(spark, group, work):
+    context = spark.sparkContext
+    context.setJobGroup(group, group)
+    try:
+        work()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    return len(context.statusTracker().getJobIdsForGroup(group))
+
+
+def test_a_lookup_that_is_a_query_runs_once(spark, tmp_path):
+    """Its own work is counted: every run of the lookup calls the accumulating function once a row."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def seen(value):
+        calls.add(1)
+        return value
+
+    mark = F.udf(seen, "bigint")
+    grouped = spark.range(6).groupBy((F.col("id") % 3).alias("id")).agg(F.count("*").alias("n"))
+    lookup = grouped.select("id", mark("n").alias("n"))
+    with settle.settled_scope(spark):
+        assert rows(lookups.lookup_join(spark.range(4), lookup, "id")) == [(0, 2), (1, 2), (2, 2)]
+        assert calls.value == 3
+
+
+def test_plain_reads_are_not_settled_again(spark, tmp_path):
+    path = str(tmp_path / "stored")
+    spark.range(9).withColumn("n", F.col("id") * 2).write.parquet(path)
+    stored = spark.read.schema("id bigint, n bigint").parquet(path)
+    plain = stored.where("id > 3").select("n")
+    assert settle.read_once(plain) is plain and settle.read_once(stored) is stored
+    with settle.settled_scope(spark):
+        assert settle.read_once(stored.distinct()).inputFiles() != stored.inputFiles()
+    nothing = stored.distinct().withColumn("none", F.lit(None))
+    assert settle.read_once(nothing) is nothing  # a column that parquet can't hold
+    assert jobs_of(spark, "plain", lambda: settle.read_once(plain)) == 0

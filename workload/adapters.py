@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from flowtide.functions.fixed_values import FLOW_COLUMNS, SHARE_CLASS_SUFFIXES
 from flowtide.sources.settle import new_folder, settle
@@ -26,8 +27,15 @@ from workload.sample_values import (
 MONEY = "decimal(18,2)"
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A sample table. Its schema is read from the file once, as a catalog would keep it."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def one_of(values: list, position: Column) -> Column:
