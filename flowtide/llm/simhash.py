@@ -1,15 +1,21 @@
 """SimHash near-duplicates: byte-position inverted index with count filtering.
 
-Fingerprints of at most ``MAX_BITS`` differing bits differ in as many bytes at most, so 6 of 8
-positional bytes at least are shared. A posting list of a single byte holds a 256th of all fingerprints,
-and tallying such lists pair by pair grows with the square of the input; the index therefore posts
-each distinct fingerprint under the six pairs of its four two-byte blocks. Two blocks at least are
-shared by every linked pair, so none is lost. For each pair that meets, the shared positional bytes are tallied, pairs
-that reach the guaranteed minimum are kept, and the differing bits verified.
-
-Lists of more than ``MAX_LIST`` fingerprints take an exact way without pairs: two
-fingerprints of two differing bits at most both are within one bit of a third value, so each member is listed
-under the 65 values within one bit of it, and members of a value are linked to the smallest of them.
+Fingerprints of at most ``MAX_BITS`` differing bits differ in as many bytes at most, so ``SHARED_BYTES`` (6) of
+8 positional bytes at least are shared. Each distinct fingerprint is posted under (position, byte) for
+the first three positions, one of which any such pair shares. The list of one byte holds a
+256th of all fingerprints, so a list of more than ``MAX_LIST`` members is split: its members are posted again under the
+list's bytes and one of the next positions, as long as no more than two positions are skipped. A list of d
+bytes holds a 256^d-th, and there are (d + 1)(d + 2) / 2 of them for a fingerprint. Splitting starts at the depth at which evenly
+spread fingerprints have short lists, so that longer ones aren't posted in vain.
+
+Two fingerprints meet in the one list that holds the first bytes they share: pairs that agree at a skipped position
+are left to another list. For pairs that meet the shared positional bytes are tallied, pairs that
+reach the guaranteed minimum are retained, and their differing bits verified.
+
+At six bytes the minimum is reached and nothing is left to split. What is then still long (65,536 members at most, the values of
+two bytes) is linked without pairs: two fingerprints of two differing bits at most both are within one bit
+of a third value, so each member is listed under the 65 values within one bit of it, and
+members of a value are linked to the smallest of them.
 
 Equal fingerprints are grouped first; only distinct ones are indexed, and nothing is expanded into
 all pairs of a group. Nothing is collected or broadcast but a count and a checksum per round.
@@ -22,6 +28,7 @@ the smallest (the component of NULL ids alone is NULL).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -38,7 +45,7 @@ SHINGLE = 3
 SEED = 42
 MAX_BITS = 2
 SHARED_BYTES = 8 - MAX_BITS
-MAX_LIST = 2000
+MAX_LIST = 64
 LAST_ID = (1 << 63) - 1  # stands for a NULL id: after all others
 
 _LOWER = bytes(textops.LOWER.tolist())
@@ -98,46 +105,87 @@ def shared_bytes(left: Column, right: Column) -> Column:
     return tally
 
 
-def _postings(prints: DataFrame) -> DataFrame:
-    """Each distinct fingerprint under the six pairs of its blocks."""
-    block = [F.shiftrightunsigned("fp", 16 * i).bitwiseAND(F.lit(0xFFFF)) for i in range(4)]
-    keys = [
-        F.struct(F.lit(n).alias("part"), (block[i] * 65536 + block[j]).alias("value"))
-        for n, (i, j) in enumerate(combinations(range(4), 2))
-    ]
+def paths(depth: int) -> list[tuple[int, ...]]:
+    """The positions that may be the first ``depth`` ones which two linked fingerprints share."""
+    return [p for p in combinations(range(8), depth) if p[-1] < depth + 8 - SHARED_BYTES]
+
+
+def first_depth(count: int, max_list: int) -> int:
+    """Bytes in a list's key at which evenly spread fingerprints have lists of ``max_list`` members at most."""
+    depth = 1
+    while depth < SHARED_BYTES and count > max_list << 8 * depth:
+        depth += 1
+    return depth
+
+
+def _posted(prints: DataFrame, depth: int) -> DataFrame:
+    """Each fingerprint under its bytes at every path: (part, value, fp); a part's bits are its positions."""
+    keys = []
+    for path in paths(depth):
+        value = reduce(lambda found, at: found * 256 + _byte(F.col("fp"), at), path, F.lit(0).cast("bigint"))
+        keys.append(F.struct(F.lit(sum(1 << p for p in path)).alias("part"), value.alias("value")))
     return prints.select("fp", F.explode(F.array(*keys)).alias("key")).select("key.part", "key.value", "fp")
 
 
-def _short_list_links(listed: DataFrame, max_list: int) -> DataFrame:
-    short = listed.where(F.col("members") <= max_list)
+def _split(listed: DataFrame, depth: int) -> DataFrame:
+    """Members of lists of ``depth`` bytes, posted under one byte more."""
+    part, value, fp = F.col("part"), F.col("value"), F.col("fp")
+    nexts = [
+        F.when(
+            part < (1 << p),
+            F.struct((part + (1 << p)).alias("part"), (value * 256 + _byte(fp, p)).alias("value")),
+        )
+        for p in range(depth, depth + 1 + 8 - SHARED_BYTES)
+    ]
+    deeper = listed.select("fp", F.explode(F.filter(F.array(*nexts), lambda k: k.isNotNull())).alias("key"))
+    return deeper.select("key.part", "key.value", "fp")
+
+
+def _list_links(short: DataFrame) -> DataFrame:
+    """Linked pairs of short lists, each in the list of the first bytes that it shares."""
     left = short.select("part", "value", F.col("fp").alias("a"))
     right = short.select("part", "value", F.col("fp").alias("b"))
-    a, b = F.col("a"), F.col("b")
+    a, b, part = F.col("a"), F.col("b"), F.col("part")
+    first = F.lit(True)
+    for p in range(7):  # a position skipped by the list: not in it, though a later one is
+        skipped = (part >= (2 << p)) & (part.bitwiseAND(F.lit(1 << p)) == 0)
+        first &= ~skipped | (_byte(a, p) != _byte(b, p))
     return (
         left.join(right, ["part", "value"])
-        .where((a < b) & (shared_bytes(a, b) >= SHARED_BYTES))
+        .where((a < b) & first & (shared_bytes(a, b) >= SHARED_BYTES))
         .where(F.bit_count(a.bitwiseXOR(b)) <= MAX_BITS)
         .select("a", "b")
     )
 
 
-def _long_list_links(listed: DataFrame, max_list: int) -> DataFrame:
-    members = listed.where(F.col("members") > max_list).select("fp").distinct()
+def _links_by_neighbours(long: DataFrame) -> DataFrame:
+    members = long.select("fp").distinct()
     flips = [F.col("fp"), *[F.col("fp").bitwiseXOR(F.shiftleft(F.lit(1).cast("bigint"), i)) for i in range(64)]]
     near = members.select(F.explode(F.array(*flips)).alias("hub"), "fp")
     lowest = near.groupBy("hub").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1")
     return near.join(lowest, "hub").select(F.col("fp").alias("a"), "b").where("a <> b")
 
 
-def fingerprint_links(distinct: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
+def fingerprint_links(distinct: DataFrame, max_list: int = MAX_LIST, depth: int | None = None) -> DataFrame:
     """Links that join exactly the fingerprints reachable over ``MAX_BITS`` differing bits.
 
-    Every linked pair of a short list is there; a long list is linked through its common neighbours.
+    Every linked pair is there but those of lists that stay long at six bytes, which are linked
+    through common neighbours. ``depth`` is the number of bytes to begin with.
     """
-    postings = _postings(distinct)
-    sizes = postings.groupBy("part", "value").agg(F.count("*").alias("members")).where("members > 1")
-    listed = settle(postings.join(sizes, ["part", "value"]))
-    return _short_list_links(listed, max_list).union(_long_list_links(listed, max_list))
+    depth = first_depth(distinct.count(), max_list) if depth is None else depth
+    postings, found = _posted(distinct, depth), []
+    while True:
+        sizes = postings.groupBy("part", "value").agg(F.count("*").alias("members")).where("members > 1")
+        listed = settle(postings.join(sizes, ["part", "value"]))
+        found.append(_list_links(listed.where(F.col("members") <= max_list)))
+        long = listed.where(F.col("members") > max_list)
+        if long.isEmpty():
+            break
+        if depth == SHARED_BYTES:
+            found.append(_links_by_neighbours(long))
+            break
+        postings, depth = _split(long, depth), depth + 1
+    return reduce(DataFrame.union, found)
 
 
 def fingerprint_groups(prints: DataFrame, max_list: int = MAX_LIST) -> DataFrame:

@@ -160,6 +160,24 @@ def test_links_over_close_fingerprints(spark):
         assert [r[1] for r in sorted((r["first_key"], r["component_id"]) for r in groups.collect())] == expected
 
 
+def test_lists_of_bytes_give_every_pair_once_at_every_depth(spark):
+    draw = random.Random(8)
+    prints = {draw.getrandbits(64) for _ in range(12)}
+    for _ in range(150):
+        prints.add(draw.choice(sorted(prints)) ^ 1 << draw.randrange(64) ^ 1 << draw.randrange(64))
+    signed = [p - (1 << 64) if p >> 63 else p for p in sorted(prints)]
+    pairs = sorted((a, b) for a in signed for b in signed if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 2)
+    table = spark.createDataFrame([(p,) for p in signed], "fp bigint")
+    for max_list, depth in ((10**9, 1), (10**9, 4), (10**9, 6), (40, 1)):
+        links = simhash.fingerprint_links(table, max_list, depth)
+        assert sorted(map(tuple, links.collect())) == pairs
+
+
+def test_depths_follow_the_number_of_fingerprints():
+    assert [simhash.first_depth(n, 64) for n in (0, 64 * 256, 64 * 256 + 1, 10**7, 10**9, 10**30)] == [1, 1, 2, 3, 3, 6]
+    assert [len(simhash.paths(d)) for d in range(1, 7)] == [3, 6, 10, 15, 21, 28]
+
+
 def test_one_of_each_group_stays(odd, none):
     kept = simhash.keep_one(odd)
     assert kept.columns == odd.columns
