@@ -333,6 +333,11 @@ totals AS (
 
 REDEEMED = totals("abs(sum(redemption_amount))", "abs_tot_rdmpt_amt")
 NET = totals("sum(redemption_amount) + sum(sale_amount)", "net_cash_flow")
+PLACED = f"""
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY month_number DESC NULLS LAST, {', '.join(f'{c} NULLS FIRST' for c in (
+      'parent_fund_acronym_group', 'parent_share_class_name', 'line_number', *V.FLOW_MEASURES))}) AS position
+  FROM flows)"""
 GFA = "WHERE parent_fund_acronym_group = 'GFA'"
 GFA_REDEEMED = totals("abs(sum(redemption_amount))", "abs_tot_rdmpt_amt", GFA)
 
@@ -604,6 +609,7 @@ FROM flows GROUP BY month_number, parent_fund_acronym_group"""
 ORACLE = {
     "month_counter": with_([FLOWS], f"SELECT month_number, {RANK} FROM flows GROUP BY month_number"),
     "fund_redemptions": with_([FLOWS, REDEEMED], as_doubles("totals", ["abs_tot_rdmpt_amt"])),
+    "ordered_flows": with_([FLOWS, PLACED], as_doubles("placed")),
     "fund_detail": with_(
         [FLOWS],
         f"SELECT * REPLACE ({doubles(V.FLOW_MEASURES)}), "

@@ -9,7 +9,7 @@ from flowtide.functions import columns as C
 from flowtide.functions import fixed_values as V
 from flowtide.operators import aggregates, combine, lags, lookups, motion, pattern_index, pivots, segments, windows
 from flowtide.plans import advisor, analysis, base, flows, macro
-from flowtide.sources import increments, readers, tables
+from flowtide.sources import increments, ordered, readers, tables
 from flowtide.sources.settle import new_folder, settle
 from workload import adapters as A
 
@@ -388,6 +388,13 @@ def advisor_dimensions(spark, sf):
 # Saved tables and views
 
 
+def ordered_flows(spark, sf):
+    """All fund flows written by month and fund, latest month first, and read back with their positions."""
+    rows, path = A.fund_flows(spark, sf), new_folder(spark, "ordered-flows")
+    ordered.write_ordered(rows, path, [MONTH, FUND], [MONTH])
+    return ordered.read_ordered(spark, path, rows.schema).drop(ordered.RANGE)
+
+
 def snapshot_fund_lookup(spark, sf):
     """Fund lookup saved as a table and read back, first built, then reused."""
     tables.ensure_database(spark, "default")
@@ -434,7 +441,7 @@ REGISTERED = [
     money_in_motion, firm_lookup_indexed, names_with_numbers,
     advisor_assets, advisor_sales, line_sums, fund_line_pivot, advisor_dimensions,
     lagged_indicators, macro_correlation,
-    snapshot_fund_lookup, incremental_flows, view_redemptions,
+    snapshot_fund_lookup, incremental_flows, ordered_flows, view_redemptions,
 ]
 
 
