@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowtide.functions.columns import known_values
+from flowtide.sources.settle import dealt
+
+READ_BYTES = 4 * 1024 * 1024  # of the files read, for each task that makes wide rows
 
 
 def label_pivot(
@@ -27,14 +30,15 @@ def label_pivot(
 
     Rows are summed by key and traits first, which shrinks a hot key to its few
     trait combinations before it moves. The narrow sums are then brought
-    together by key once, and all wide rows are made within their partition.
+    together by key once, and all wide rows are made within their partition. Wide rows are many times
+    larger than the sums, so the number of partitions follows the files read: a task stays as small however large they are.
     """
     narrow = (
         df.withColumns(dict(traits))
         .groupBy(*by, *traits)
         .agg(*[F.sum(amount).alias(name) for name, amount in measures.items()])
     )
-    spread = narrow.repartition(*by).select(
+    spread = dealt(narrow, by, df, READ_BYTES).select(
         *by,
         F.explode_outer(known_values(labels)).alias("_label"),
         *measures,

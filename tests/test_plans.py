@@ -230,3 +230,12 @@ def test_legacy_names_are_these():
         "exchange_net_flow_amount": "exchg_net_flow_amt",
         "total_net_flow_amount": "tot_net_flow_amt",
     }
+
+
+def test_tasks_follow_the_files_read(spark, tmp_path):
+    files = saved(spark.range(1000).withColumn("k", F.col("id") % 7), tmp_path / "read")
+    size = sum(f.stat().st_size for f in (tmp_path / "read").glob("*.parquet"))
+    for parts in (1, 3, 40):
+        dealt = settle.dealt(files.groupBy("k").count(), ["k"], files, -(-size // parts))
+        assert dealt.rdd.getNumPartitions() == parts
+    assert "REPARTITION_BY_COL" in plan(settle.dealt(files, ["k"], spark.createDataFrame([(1,)], "x int"), 1))
