@@ -120,6 +120,11 @@ def _first_of_group(by: Sequence[str], order: Sequence[str], column: str) -> Col
     )
 
 
+def nearest_known(by: Sequence[str], period: str, low: str, high: str) -> Column:
+    """What ``fill_gaps`` fills with, from the columns of the smallest and the largest known value of each period."""
+    return F.coalesce(_latest(by, [period], high), _first_of_group(by, [period], low))
+
+
 def _fill_by_period(df, by, period, cols, found, keep_own):
     """Fill from one row per key and period; ``found(low, high)`` gives the value
     from the columns that hold the smallest and the largest known value."""
@@ -184,10 +189,7 @@ def fill_gaps(
     window answers both.
     """
 
-    def nearest(low: str, high: str) -> Column:
-        return F.coalesce(_latest(by, [period], high), _first_of_group(by, [period], low))
-
-    return _fill(df, by, period, cols, nearest, bounded_groups)
+    return _fill(df, by, period, cols, lambda low, high: nearest_known(by, period, low, high), bounded_groups)
 
 
 def trailing_avg(

@@ -232,6 +232,23 @@ def test_legacy_names_are_these():
     }
 
 
+def test_daily_sums_come_without_the_repeated_rows(spark):
+    flows_ = base_rows(spark).drop("morningstar_category_grouped", "gdp")
+    months = [r[0] for r in flows_.select("month_number").distinct().collect()]
+    values = [(m, float(d) if (m + d) % 3 else None, 7.5 if m == max(months) else None) for m in months for d in range(5)]
+    macro = spark.createDataFrame(values, "month_number int, GDP double, Sentiment double")
+    returns = flows_.select("month_number", "ticker_symbol").distinct().withColumns(
+        {"morningstar_category_grouped": F.lit("x"), "return_1_month": F.when(F.col("month_number") % 2 == 0, 0.25)}
+    )
+    text = {*V.FILL_KEYS, "month_number", "ticker_symbol"}
+    filled = base.filled_base(base.base_table(flows_, macro, returns))
+    sums = [F.sum(F.col(c).cast("decimal(28,2)")).alias(c) for c in filled.columns if c not in text]
+    expected = filled.groupBy("month_number", "ticker_symbol").agg(F.count(F.lit(1)).alias("n_rows"), *sums)
+    got = base.filled_sums(flows_, macro, returns)
+    assert got.columns == expected.columns and rows(got) == rows(expected) != []
+    assert "_gaps_GDP" in plan(got)
+
+
 def test_tasks_follow_the_files_read(spark, tmp_path):
     files = saved(spark.range(1000).withColumn("k", F.col("id") % 7), tmp_path / "read")
     size = sum(f.stat().st_size for f in (tmp_path / "read").glob("*.parquet"))
