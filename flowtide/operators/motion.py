@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from flowtide.sources.settle import dealt
+
 # Two of these have a product that decimals still hold.
 UNITS = "decimal(19,0)"
 UNKNOWN = "unknown"
+READ_BYTES = 4 * 1024 * 1024  # of the files read, for each task that splits groups
 
 
 def _product(a: Column, b: Column) -> Column:
@@ -47,7 +50,8 @@ def money_in_motion(
 
     Amounts below zero count on the other side, NULL as nothing; a NULL class is ``UNKNOWN``; NULL keys are a group.
     Rows are summed by group and class before they move. All that follows is one shuffle by ``keys`` of
-    a row per group and class; classes are a short list, so their pairs are as well.
+    a row per group and class; classes are a short list, so their pairs are as well. Each task sorts its rows several
+    times, so their number follows the files read.
     """
     names = [f"_k{i}" for i in range(len(keys))]
     found = rows.select(
@@ -56,6 +60,7 @@ def money_in_motion(
         *[F.coalesce(v, F.lit(0)).cast(f"decimal(28,{scale})").alias(n) for v, n in ((inflow, "_in"), (outflow, "_out"))],
     )
     sums = found.groupBy(*names, "_class").agg(F.sum("_in").alias("_in"), F.sum("_out").alias("_out"))
+    sums = dealt(sums, names, rows, READ_BYTES)
 
     def units(here: str, there: str) -> Column:
         total = F.greatest(F.col(here), F.lit(0)) + F.greatest(-F.col(there), F.lit(0))
