@@ -57,7 +57,8 @@ def standard_flows(
     listed = hint_small(funds.select(*FUND_KEYS).distinct(), small)
     totals = aggregate_flows(rows.join(listed, FUND_KEYS, "left_semi"), [*PLAN_KEYS, *FUND_KEYS])
     vehicles = funds.groupBy(*FUND_KEYS, *VEHICLE_KEYS).agg(F.count(F.lit(1)).alias("_listed"))
-    amounts = [(F.col(m) * F.col("_listed")).cast(totals.schema[m].dataType).alias(m) for m in FLOW_MEASURES]
+    repeated = {m: (F.col(m) * F.col("_listed")).cast(totals.schema[m].dataType) for m in FLOW_MEASURES}
+    amounts = [F.when(F.col("_listed") == 1, F.col(m)).otherwise(r).alias(m) for m, r in repeated.items()]
     return (
         totals.join(hint_small(vehicles, small), FUND_KEYS)
         .select(*PLAN_KEYS, *FUND_KEYS, *VEHICLE_KEYS, *amounts)

@@ -249,6 +249,40 @@ def test_daily_sums_come_without_the_repeated_rows(spark):
     assert "_gaps_GDP" in plan(got)
 
 
+@pytest.mark.parametrize("days", [1, 2])
+@pytest.mark.parametrize("known", [True, False])
+def test_only_columns_with_gaps_go_through_windows(spark, tmp_path, days, known):
+    wide = base_rows(spark)
+    flows_ = wide.drop("gdp", "morningstar_category_grouped")
+    flows_ = flows_.withColumn("sale_amount", F.col("investment_vehicle_id").cast("decimal(18,2)"))
+    if known:
+        flows_ = flows_.fillna(0, ["redemption_amount"]).withColumn("redemption_amount", F.col("redemption_amount").cast("decimal(18,2)"))
+    months = [(m, 1.0 * m, None if m % 3 else m + d / 2) for m in (*range(201701, 201712), *range(201801, 201813)) for d in range(days)]
+    macro = spark.createDataFrame(months, "month_number int, Sentiment double, GDP double")
+    returns = spark.createDataFrame(
+        [(m, "T", "x", m / 7) for m in (*range(201701, 201713), *range(201802, 201813))],
+        "month_number int, ticker_symbol string, morningstar_category_grouped string, return_1_month double",
+    )
+    parts = [saved(df, tmp_path / n) for n, df in (("flows", flows_), ("macro", macro), ("returns", returns))]
+    table = base.base_table(*parts)
+    for got, expected in (
+        (base.filled_table(*parts), base.filled_base(table)),
+        (base.features_table(*parts), base.base_features(table)),
+    ):
+        assert got.columns == expected.columns and rows(got) == rows(expected) != []
+        text = plan(got)
+        for column, gaps in {"GDP": True, "redemption_amount": not known, "sale_amount": False, "Sentiment": False, "return_1_month": False}.items():
+            assert (f"last(_high_{column}" in text) == gaps
+        # Where a month has one row, indicators without gaps are joined behind the windows.
+        assert any("Window" in n for n in max(ancestors(text, "Sentiment"), key=len)) == (days > 1)
+
+
+def test_columns_with_gaps(spark):
+    df = spark.createDataFrame([(1, None, "x"), (2, 3, None), (3, 4, "z")], "a int, b int, c string")
+    assert base.columns_with_gaps(df, ["a", "b", "c"]) == ["b", "c"]
+    assert base.columns_with_gaps(df, []) == base.columns_with_gaps(df.where("a > 9"), ["a", "b"]) == []
+
+
 def test_tasks_follow_the_files_read(spark, tmp_path):
     files = saved(spark.range(1000).withColumn("k", F.col("id") % 7), tmp_path / "read")
     size = sum(f.stat().st_size for f in (tmp_path / "read").glob("*.parquet"))
